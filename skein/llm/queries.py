@@ -7,14 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import leak, mixture, split, topn
+from skein.llm import leak, markup, mixture, neighbours, split, topn, truncation
 from skein.sources.tables import table
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    elements = p2_documents(spark, d).select("source_table", "record_id", F.explode("elements").alias("e"))
+    return elements.select("source_table", "record_id", F.col("e.kind").alias("element_kind"), F.col("e.text").alias("element_text")).distinct()
+
+
+def p2_documents(spark: SparkSession, d: str) -> DataFrame:
+    pages = markup.pages_of(table(spark, d, "people_feed"), table(spark, d, "raw_faculty"))
+    return markup.clean_documents(pages).select("key.*", "text_clean", "notation", "elements")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return topn.latest_papers(table(spark, d, "papers"), 10).select("author_id", "external_id")
 
 
+def _embeddings(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "document_embeddings").select(F.col("embedding_version").alias("version"), F.col("document_id").alias("id"), F.col("created_at").alias("at"), F.col("embedding").alias("v"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    near = neighbours.similar_vectors(_embeddings(spark, d), k=10, floor=0.80)
+    return neighbours.similar_pairs(near).withColumnRenamed("version", "embedding_version")
+
+
+def p4_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    return neighbours.similar_vectors(_embeddings(spark, d), k=10, every=100, probes=8)
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_pieces(spark, d).select("source_table", "item_id").distinct()
 
@@ -36,6 +59,14 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mix(table(spark, d, "documents"), table(spark, d, "mixture_targets"))[1]
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.score_truncation(table(spark, d, "documents")).filter("truncated").select("doc_id").distinct()
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncation_rates(truncation.score_truncation(table(spark, d, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit()}
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import leak, markup, mixture, neighbours, split, topn, truncation
+from skein.llm import leak, markup, mixture, names, neighbours, split, topn, truncation
 from skein.sources.tables import table
 
 
@@ -38,6 +38,11 @@ def p4_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return neighbours.similar_vectors(_embeddings(spark, d), k=10, every=100, probes=8)
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    spelt = names.all_names(table(spark, d, "raw_faculty"), table(spark, d, "author_candidates"), table(spark, d, "papers"))
+    return names.variant_pairs(spelt).select("name_a", "name_b")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_pieces(spark, d).select("source_table", "item_id").distinct()
 

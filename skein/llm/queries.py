@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import leak, markup, mixture, names, neighbours, split, topn, truncation
+from skein.llm import leak, linkage, markup, mixture, names, neighbours, split, topn, truncation
 from skein.sources.tables import table
 
 
@@ -38,6 +38,15 @@ def p4_neighbours(spark: SparkSession, d: str) -> DataFrame:
     return neighbours.similar_vectors(_embeddings(spark, d), k=10, every=100, probes=8)
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return p5_matches(spark, d).select("faculty_id", "author_id")
+
+
+def p5_matches(spark: SparkSession, d: str) -> DataFrame:
+    found = linkage.link(linkage.people(table(spark, d, "faculty")), linkage.profiles(table(spark, d, "author_candidates")))
+    return found.select(F.col("person_id").cast("long").alias("faculty_id"), F.col("profile_id").alias("author_id"), "confidence")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     spelt = names.all_names(table(spark, d, "raw_faculty"), table(spark, d, "author_candidates"), table(spark, d, "papers"))
     return names.variant_pairs(spelt).select("name_a", "name_b")

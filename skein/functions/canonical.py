@@ -14,6 +14,9 @@ _WHITE = [(0x09, 0x0D), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x168
 #: The same as the inside of a character class, for Java and Python patterns alike.
 SPACE = "".join("\\%s%04x-\\%s%04x" % ("u", a, "u", b) for a, b in _WHITE)
 
+#: All white space characters, as a set for trimming.
+SPACES = "".join(chr(c) for a, b in _WHITE for c in range(a, b + 1))
+
 
 @F.pandas_udf(T.StringType())
 def _nfc(text: pd.Series) -> pd.Series:

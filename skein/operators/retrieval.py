@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.functions.text import terms
-from skein.functions.vectors import dot, unit
-from skein.runtime import is_small
+from skein.functions.text import name_key, terms
 
 K1, B = 1.2, 0.75
 
@@ -20,29 +22,56 @@ def first_k(ranked: DataFrame, query: str, order: list[Column], k: int, rank: st
     return ranked.withColumn(rank, F.row_number().over(place)).filter(F.col(rank) <= k)
 
 
-def dense_top_k(queries: DataFrame, corpus: DataFrame, k: int = 50, block_rows: int = 20_000, decimals: int = 6) -> DataFrame:
-    """(query_id, doc_id, score, rank): exact cosine top k. queries and corpus: (query_id | doc_id, vector).
+def dense_top_k(queries: DataFrame, corpus: DataFrame, k: int = 50, block_rows: int = 4096, decimals: int = 6) -> DataFrame:
+    """(query_id, doc_id, score, rank): exact cosine top k. queries and corpus: (query_id | doc_id, vector), ids long.
 
-    The queries are a stated set and meet the corpus in blocks of block_rows, each broadcast; a corpus row never moves,
-    and every task keeps only k rows per query before they are shuffled. Scores are rounded before ranking, so that ties
-    go to the smaller id. A document isn't its own neighbour.
+    The queries are a stated set and meet the corpus in blocks of about block_rows, each sent to the executors; a corpus
+    row never moves, and every batch passes on only k rows per query. Scores are rounded before ranking, so that ties go
+    to the smaller id. A document isn't its own neighbour. Vectors that are null, zero, not finite or of another length
+    than the queries' longest are left out.
     """
-    q = queries.select("query_id", unit(F.col("vector")).alias("q"))
-    docs = corpus.select("doc_id", unit(F.col("vector")).alias("v"))
-    blocks = 1 if is_small(q, block_rows) else math.ceil(q.count() / block_rows)
+    spark = queries.sparkSession
+    q = queries.select(F.col("query_id").cast("long"), "vector").filter("query_id is not null and vector is not null")
+    docs = corpus.select(F.col("doc_id").cast("long"), "vector").filter("doc_id is not null and vector is not null")
+    shape = q.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dimension")).first()
+    if not shape["n"]:
+        return spark.createDataFrame([], "query_id long, doc_id long, score double, rank int")
+    blocks, dimension = math.ceil(shape["n"] / block_rows), shape["dimension"]
     parts = []
     for n in range(blocks):
         block = q.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == n) if blocks > 1 else q
-        pairs = docs.crossJoin(F.broadcast(block)).filter(F.col("doc_id") != F.col("query_id"))  # one block of the query set, never all of both
-        scored = pairs.select("query_id", "doc_id", F.round(dot(F.col("q"), F.col("v")), decimals).alias("score"))
-        parts.append(first_k(scored, "query_id", [F.col("score").desc(), F.col("doc_id").asc()], k))
-    return reduce(DataFrame.unionByName, parts)
+        asked = spark.sparkContext.broadcast(_units(block.toArrow(), "query_id", dimension))  # one block of the query set
+
+        def search(batches: Iterator[pa.RecordBatch], asked=asked) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            names, wanted = asked.value
+            for batch in batches:
+                found, vectors = _units(pa.Table.from_batches([batch]), "doc_id", dimension)
+                scores = np.round(wanted @ vectors.T, decimals)
+                scores[names[:, None] == found[None, :]] = -np.inf
+                if scores.shape[1] > k:  # ties with the k-th stay in
+                    low = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+                    row, col = np.nonzero((scores >= low[:, None]) & np.isfinite(scores))
+                else:
+                    row, col = np.nonzero(np.isfinite(scores))
+                yield pa.RecordBatch.from_arrays([pa.array(names[row]), pa.array(found[col]), pa.array(scores[row, col])], names=["query_id", "doc_id", "score"])
+
+        parts.append(docs.mapInArrow(search, "query_id long, doc_id long, score double"))
+    return first_k(reduce(DataFrame.unionByName, parts), "query_id", [F.col("score").desc(), F.col("doc_id").asc()], k)
+
+
+def _units(table: pa.Table, key: str, dimension: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, vectors of length one) of the usable rows."""
+    column = table.column("vector").combine_chunks()
+    column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+    right = np.flatnonzero(np.array(pc.fill_null(pc.list_value_length(column), -1)) == dimension)
+    values = column.take(pa.array(right)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(right), dimension)
+    norms = np.linalg.norm(values, axis=1)
+    usable = np.isfinite(norms) & (norms > 0)
+    return np.asarray(table.column(key))[right[usable]].astype(np.int64), values[usable] / norms[usable, None]
 
 
 def postings(corpus: DataFrame) -> DataFrame:
     """(term, doc_id, tf, length): the inverted table of documents (doc_id, text)."""
-    from skein.functions.text import name_key
-
     words = F.filter(F.split(F.coalesce(name_key(F.col("text")), F.lit("")), " "), lambda w: w != "")
     split = corpus.select("doc_id", words.alias("w")).withColumn("length", F.size("w"))
     return split.select("doc_id", "length", F.explode("w").alias("term")).groupBy("term", "doc_id", "length").agg(F.count("*").alias("tf"))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.functions.canonical import SPACE, squeeze
+from skein.functions.canonical import SPACE, SPACES, squeeze
 from skein.runtime import cut, join_small
 
 #: Bound of the sample of labelled records that the model is fitted on.
@@ -36,18 +36,17 @@ _ENDERS = ".!?" + "".join(map(chr, (0x3002, 0xFF01, 0xFF1F)))
 
 def endings(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds body length, omission mark, and the closing parts of a text, all computed in the JVM."""
-    body = F.regexp_replace(F.col(text), f"[{SPACE}]+$", "")
-    tail = F.substring(F.col("_body"), -TAIL, TAIL)
-    core = F.regexp_replace(F.regexp_replace(F.col("_tail"), _MARK, ""), f"[{SPACE}]+$", "")
+    edge = F.lit(SPACES)
+    # the closing words come from a split: patterns that look for the end of a text try every place in it
+    close = F.slice(F.split("_tail", f"[{SPACE}]+"), -3, 3)
     return (
-        df.withColumn("_body", body)
-        .withColumn("_tail", tail)
-        .withColumn("mark", F.regexp_extract("_tail", _MARK, 0))
-        .withColumn("core", core)
+        df.withColumn("_tail", F.substring(F.rtrim(F.col(text), edge), -TAIL, TAIL))
+        .withColumn("mark", F.regexp_extract(F.substring("_tail", -40, 40), _MARK, 0))
+        .withColumn("core", F.rtrim(F.expr("left(_tail, length(_tail) - length(mark))"), edge))
         .withColumn("length", F.length(F.col(text)))
-        .withColumn("word", F.lower(F.regexp_extract("core", r"([\p{L}\p{N}]+)$", 1)))
-        .withColumn("phrase", F.regexp_extract("_tail", f"([^{SPACE}]+[{SPACE}]+[^{SPACE}]+[{SPACE}]+[^{SPACE}]+)$", 1))
-        .drop("_body", "_tail")
+        .withColumn("word", F.lower(F.regexp_extract(F.substring_index(F.substring("core", -60, 60), " ", -1), r"([\p{L}\p{N}]+)$", 1)))
+        .withColumn("phrase", F.array_join(close, " "))
+        .drop("_tail")
     )
 
 

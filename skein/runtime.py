@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +61,9 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= wanted:
         return df
     return df.repartition(wanted, *keys)
+
+
+def frame(rows: list, columns: list[str]) -> pd.DataFrame:
+    """Rows (tuples, or dictionaries with missing fields as None) as plain object columns for Spark to convert."""
+    values = [[r.get(c) for r in rows] for c in columns] if rows and isinstance(rows[0], dict) else [list(v) for v in zip(*rows, strict=True)] or [[] for _ in columns]
+    return pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in zip(columns, values, strict=True)})

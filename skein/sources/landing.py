@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein.functions.canonical import squeeze
-from skein.runtime import spread
+from skein.runtime import frame, spread
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _SILENT = frozenset(("script", "style", "template"))
@@ -164,7 +164,7 @@ def listings(pages: DataFrame, layout: Layout = Layout()) -> DataFrame:  # noqa:
                 records, following, errors = read_listing(body, url, layout)
                 rows += [{"page_url": url, "position": n, **r, "next_url": None, "errors": []} for n, r in enumerate(records)]
                 rows.append({"page_url": url, "position": -1, "next_url": following, "errors": errors})
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _LISTING.split(", ")])
+            yield frame(rows, [c.split()[0] for c in _LISTING.split(", ")])
 
     return spread(pages.select("url", "body")).mapInPandas(run, _LISTING)
 
@@ -181,7 +181,7 @@ def profiles(pages: DataFrame, layout: Layout = Layout()) -> DataFrame:  # noqa:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [{"page_url": url, **read_profile(body, url, layout)} for url, body in batch[["url", "body"]].itertuples(index=False)]
-            yield pd.DataFrame(rows, columns=["page_url", "name", "title", "affiliations", "research_areas", "research_summary", "biography", "lab_url"])
+            yield frame(rows, ["page_url", "name", "title", "affiliations", "research_areas", "research_summary", "biography", "lab_url"])
 
     return spread(pages.select("url", "body")).mapInPandas(run, _PROFILE)
 

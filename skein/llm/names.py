@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.runtime import cut, join_small
+from skein.runtime import cut, frame, join_small
 
 #: Common short forms of given names, behind the full name they stand for.
 NICKNAMES = """abigail abby abbie gail; alexander alex sasha; alexandra lexi; andrew andy drew; anthony tony; barbara barb; beatriz bea; beatrice bee
@@ -214,7 +214,7 @@ def readings(names: DataFrame) -> DataFrame:
                     if t["place"] != "i":
                         weights[_FORMAL.get(t["canon"], t["canon"])] = max(t["weight"], 0.1)
                 rows.append((name, " ".join(r["surname"]), " ".join(r["given"]), letters, weights))
-            yield pd.DataFrame(rows, columns=["name", "surname", "given", "letters", "weights"])
+            yield frame(rows, ["name", "surname", "given", "letters", "weights"])
 
     return packed.mapInPandas(run, "name string, surname string, given string, letters string, weights map<string,double>")
 

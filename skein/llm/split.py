@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions.canonical import SPACE
-from skein.runtime import spread
+from skein.runtime import frame, spread
 
 LIMIT, OVERLAP = 400, 50
 
@@ -90,7 +90,7 @@ def split_items(items: DataFrame, text: str, keep: list[str], limit: int = LIMIT
                 cuts, words = cut_points(body, limit, overlap)
                 if len(words) > limit:
                     rows += [(*kept, f"section-{k:03d}", k, a, b - a, body[words[a][0] : words[b - 1][1]]) for k, (a, b) in enumerate(cuts, 1)]
-            yield pd.DataFrame(rows, columns=[*keep, "chunk_key", "piece_no", "first_word", "n_words", "piece"])
+            yield frame(rows, [*keep, "chunk_key", "piece_no", "first_word", "n_words", "piece"])
 
     return long.mapInPandas(pieces, f"{fields}, chunk_key string, piece_no int, first_word int, n_words int, piece string")
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions.canonical import SPACE, SPACES, squeeze
-from skein.runtime import cut, join_small
+from skein.runtime import cut, frame, join_small
 
 #: Bound of the sample of labelled records that the model is fitted on.
 TRAINING_RECORDS = 20_000
@@ -160,7 +160,7 @@ def _examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if _closed(left) or _LINK.search(left) or text[len(left) :].lstrip(" ")[:1] in ("", "\n") or left in text[-3:]:
                     continue
                 rows.append((f"{doc}/{k}", source, (left if rnd.random() < 0.5 else piece) + rnd.choice(_MARKS), 1, rnd.random() < 0.5))
-        yield pd.DataFrame(rows, columns=["id", "source", "text", "label", "at_limit"])
+        yield frame(rows, ["id", "source", "text", "label", "at_limit"])
 
 
 def _vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

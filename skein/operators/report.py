@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions.canonical import squeeze
+from skein.runtime import is_small
 
 
 def source_key(column: Column) -> Column:
@@ -41,7 +42,9 @@ def missing_vectors(documents: DataFrame, vectors: DataFrame, dimension: int) ->
     """(doc_id, embedding_version, reason): active documents with text that lack a vector of a version, or whose vector
     is older than the document or not usable. Versions are those that occur in vectors."""
     versions = vectors.select("embedding_version").filter("embedding_version is not null").distinct()
-    wanted = documents.filter(F.col("is_active") & (F.coalesce(F.trim("text"), F.lit("")) != "")).select("doc_id", F.col("created_at").alias("_made")).crossJoin(F.broadcast(versions))  # a handful of versions
+    if not is_small(versions, 1000):
+        raise ValueError("more than a thousand embedding versions")
+    wanted = documents.filter(F.col("is_active") & (F.coalesce(F.trim("text"), F.lit("")) != "")).select("doc_id", F.col("created_at").alias("_made")).crossJoin(F.broadcast(versions))  # counted above
     shaped = vectors.select(F.col("document_id").alias("doc_id"), "embedding_version", F.col("created_at").alias("_at"), (F.coalesce(F.size("embedding"), F.lit(-1)) == dimension).alias("_fit"))
     latest = shaped.groupBy("doc_id", "embedding_version").agg(F.max(F.struct("_at", "_fit")).alias("x"))
     joined = wanted.join(latest, ["doc_id", "embedding_version"], "left")

@@ -36,6 +36,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True when df has at most max_rows rows; counts at most max_rows + 1 of them."""
+    if max_rows < 0:
+        return False
     return df.limit(max_rows + 1).count() <= max_rows
 
 

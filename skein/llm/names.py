@@ -22,21 +22,14 @@ from skein.runtime import cut, frame, join_small
 
 #: Common short forms of given names, behind the full name they stand for.
 NICKNAMES = """abigail abby abbie gail; alexander alex sasha; alexandra lexi; andrew andy drew; anthony tony; barbara barb; beatriz bea; beatrice bee
-benjamin ben benny; catherine cathy cath; charles chuck charlie; christopher chris; daniel dan danny; david dave; deborah deb debbie debby; dmitri dima mitya
+benjamin ben benny; catherine cathy cath cate; charles chuck charlie; christopher chris; daniel dan danny; david dave; deborah deb debbie debby; dmitri dima mitya
 dorothy dot; edward ed eddie ned ted; elizabeth liz beth betsy betty lizzie eliza libby; frances fran frannie; francis frank; francisco paco; frederick fred freddie; gabriel gabe
 gregory greg; harold hal harry; henry hank; ibrahim ibra; isabella bella izzy isa; james jim jimmy jamie; jennifer jen jenny jenn; jose pepe; joseph joe joey; john jack johnny
 kenneth ken kenny; katherine kathy kate katie kat kit; lawrence larry laurie; leonard leo len; lukasz luk; margaret meg peggy maggie marge; matthew matt; michael mike mick mikey; monica moni
 nathaniel nate nat; nicholas nick nicky; oliver ollie olly; patricia pat patty trish tricia; patrick paddy; peter pete; philip phil; priyanka priya; rebecca becky becca; richard rick dick rich richie
 robert bob rob bobby; ronald ron; samuel sam sammy; stephen steve; susan sue susie suzie; theodora thea dora theo; theodore teddy; thomas tom tommy; tomas tomi
 victoria vicky vicki tori; vikram vik vicks; vincent vince vinny; wilhelmina mina willa minnie billie; william bill will billy liam; yolanda yoli yola; zachary zach zack zak"""
-
-
-def _key(token: str) -> str:
-    """A folded token with transliterated umlauts (ae, oe, ue) like the plain vowels."""
-    return re.sub(r"([aou])e", r"\1", token)
-
-
-_FORMAL = {_key(short): _key(group.split()[0]) for line in NICKNAMES.split("\n") for group in line.split(";") if group.split() for short in group.split()[1:]}
+_FORMAL = {short: group.split()[0] for line in NICKNAMES.split("\n") for group in line.split(";") if group.split() for short in group.split()[1:]}
 #: Titles, degrees and suffixes; particles of surnames; letters that have no decomposition.
 _TITLES = frozenset("dr prof professor mr mrs ms phd md jr sr ii iii iv msc bsc".split())
 _PARTICLES = frozenset("de del della der den van von al el la le di da dos du bin ibn ten ter".split())
@@ -84,13 +77,16 @@ def tokens_of(name: str) -> list[tuple[str, str]]:
     parts = [p for p in text.split(",") if p.strip()]
     while len(parts) > 1 and all(fold(t) in _TITLES for t in _TOKEN.findall(parts[-1])):
         parts.pop()
+    lone = len([t for t in _TOKEN.findall(text) if fold(t) not in _PARTICLES | _TITLES and t != t.upper()]) == 1 and not re.search(r"\b[^\W\d_]\b", text)
     out: list[tuple[str, str]] = []
     for k, part in enumerate(parts):
         # short parts tied by a hyphen are one given name (Hye-Jin); long ones are two surnames
         part = re.sub(r"\b([^\W\d_]{2,5})-([^\W\d_]{2,5})\b", r"\1\2", part)
         for raw in _TOKEN.findall(part):
-            t = _key(fold(raw).replace("'", "").replace(chr(0x2019), ""))
-            if not t or t in _TITLES or t in _PARTICLES:
+            t = fold(raw).replace("'", "").replace(chr(0x2019), "")
+            # two capitals beside a lone surname are initials, even where they read like a title
+            initials = len(raw) == 2 and raw.isupper() and not shouting and lone
+            if not t or ((t in _PARTICLES or t in _TITLES) and not initials):
                 continue
             if len(t) == 1:
                 out.append((t, "i"))
@@ -128,15 +124,16 @@ Q = 3
 _DESTROYED = Q + 1
 
 
-def misspelt(tokens: DataFrame) -> DataFrame:
+def misspelt(tokens: DataFrame, known: tuple[str, ...] = ()) -> DataFrame:
     """(token, canon): tokens one edit or swap away from a far more frequent one, or long rare ones from each other; tokens has (token, n).
 
     Similar tokens share a q-gram among the rarest _DESTROYED + 1 of either (prefix filter), at positions that differ
-    by at most one. Only tokens of at least 4 letters are compared; the most frequent partner wins, then the first.
+    by at most one. Only tokens of at least 3 letters are compared; the most frequent partner wins, then the first.
+    `known` tokens stand for themselves.
     """
     padded = F.concat(F.lit("#"), F.col("token"), F.lit("$"))
     at = F.sequence(F.lit(1), F.length(padded) - (Q - 1))
-    grams = tokens.filter(F.length("token") >= 4).select("token", "n", F.explode(F.transform(at, lambda i: F.struct(i.alias("at"), padded.substr(i, F.lit(Q)).alias("gram")))).alias("g")).select("token", "n", "g.at", "g.gram")
+    grams = tokens.filter(F.length("token") >= 3).select("token", "n", F.explode(F.transform(at, lambda i: F.struct(i.alias("at"), padded.substr(i, F.lit(Q)).alias("gram")))).alias("g")).select("token", "n", "g.at", "g.gram")
     df = grams.groupBy("gram").agg(F.count("*").alias("df"))
     order = Window.partitionBy("token").orderBy("df", "gram", "at")
     prefix = cut(grams.join(df, "gram").withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= _DESTROYED + 1).select("token", "n", "gram", "at"))
@@ -144,7 +141,8 @@ def misspelt(tokens: DataFrame) -> DataFrame:
     right = prefix.select(F.col("token").alias("b"), F.col("n").alias("n_b"), "gram", "at")
     rare = (F.length("a") >= 7) & (F.col("n_a") <= 2) & ((F.col("n_b") > F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("b") > F.col("a"))))
     frequent = F.col("n_b") >= F.greatest(F.lit(3), 3 * F.col("n_a"))
-    pairs = left.join(right, ["gram", "at"]).filter((F.abs(F.length("a") - F.length("b")) <= 1) & (rare | frequent)).select("a", "b", "n_b").distinct()
+    left = left.filter(~F.col("a").isin(*known)) if known else left
+    pairs = left.join(right, ["gram", "at"]).filter((F.greatest(F.length("a"), F.length("b")) >= 4) & (F.abs(F.length("a") - F.length("b")) <= 1) & (rare | frequent)).select("a", "b", "n_b").distinct()
     distance = F.levenshtein("a", "b", 2)
     letters = lambda c: F.array_sort(F.split(F.col(c), ""))
     swapped = (distance == 2) & (F.length("a") == F.length("b")) & (letters("a") == letters("b"))
@@ -194,7 +192,7 @@ def readings(names: DataFrame) -> DataFrame:
     exploded = parsed.select("name", F.posexplode("tokens").alias("pos", "t")).select("name", "pos", "t.token", "t.place")
     stats = exploded.filter("place <> 'i'").groupBy("token").agg(F.count("*").alias("n"), F.count_if(F.col("place").isin("f", "g")).alias("firsts"), F.count_if(F.col("place").isin("l", "s")).alias("lasts"))
     stats = cut(stats)
-    fixes = cut(misspelt(stats.select("token", "n")))
+    fixes = cut(misspelt(stats.select("token", "n"), tuple(sorted({*_FORMAL, *_FORMAL.values()}))))
     mapped = stats.join(fixes, "token", "left").withColumn("canon", F.coalesce("canon", "token"))
     canon = mapped.groupBy("canon").agg(F.sum("n").alias("canon_n"), (F.sum("firsts") / F.greatest(F.sum("firsts") + F.sum("lasts"), F.lit(1))).alias("share"), F.sum(F.col("firsts") + F.col("lasts")).alias("seen"))
     info = cut(mapped.select("token", "canon").join(canon, "canon").select("token", "canon", "canon_n", F.when(F.col("seen") >= 4, F.col("share")).alias("share")))

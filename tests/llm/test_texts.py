@@ -27,6 +27,13 @@ def test_html():
     assert "no" not in text.split() and "<" not in text.replace("a < b", "").replace("two <b>", "")
 
 
+def test_pages_that_were_escaped_twice():
+    import html
+
+    assert elements(html.escape(HTML)) == elements(HTML)
+    assert elements("a &lt;b and c&gt; d &lt;p") == []
+
+
 def test_nested_lists_keep_every_item():
     assert elements("<ul><li>a<ul><li>b</li><li>c</li></ul></li><li><p>d</p></li></ul>") == [("list_item", x) for x in "abcd"]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -141,3 +142,34 @@ def compose_query(text: str, interests: str = "", methods: str = "", background:
     if len(query) > most_chars:
         raise ValueError(f"the query has more than {most_chars} characters")
     return query
+
+
+#: Words of a query that carry no meaning.
+STOP = frozenset("a an and are as at be by for from has have i in is it its of on or our that the their this to was we were which with you".split())
+
+
+def stem(word: str) -> str:
+    """A word without its most common English endings, the same for a query and a document."""
+    for ending, least in (("ies", 3), ("sses", 2), ("ing", 4), ("ed", 4), ("s", 3)):
+        if word.endswith(ending) and len(word) - len(ending) >= least and not word.endswith("ss"):
+            return word[: -len(ending)] + {"ies": "y", "sses": "ss"}.get(ending, "")
+    return word
+
+
+def lexical_query(text: str, most: int = 32) -> dict[str, list]:
+    """terms (stems in order of first occurrence, without stop words, at most `most`) and phrases (quoted parts as
+    lists of stems) of a free query."""
+    words = lambda t: [stem(w) for w in re.findall(r"[^\W_]+", t.casefold()) if w not in STOP]
+    phrases = [p for q in re.findall(r'"([^"]+)"', text) if len(p := words(q)) > 1]
+    return {"terms": list(dict.fromkeys(words(text)))[:most], "phrases": phrases}
+
+
+def recency(results: DataFrame, documents: DataFrame, current_year: int, half_life: float | None = None, decimals: int = 9) -> DataFrame:
+    """Results with the scores of publications halved for every half_life years of age, ranked anew; off by default."""
+    if half_life is None:
+        return results
+    years = documents.filter("publication_year is not null").select("doc_id", "publication_year")
+    age = F.greatest(F.lit(0.0), F.lit(float(current_year)) - F.col("publication_year"))
+    aged = results.join(years, "doc_id", "left").withColumn("score", F.round(F.col("score") * F.coalesce(F.pow(F.lit(0.5), age / half_life), F.lit(1.0)), decimals))
+    place = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("rank").asc())
+    return aged.drop("publication_year").withColumn("rank", F.row_number().over(place))

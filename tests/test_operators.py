@@ -206,3 +206,27 @@ def test_reports_on_empty_tables(spark):
     vectors = spark.createDataFrame([], "document_id long, embedding_version string, created_at timestamp, embedding array<float>")
     assert report.corpus_health(docs).first().n_documents == 0
     assert report.missing_vectors(docs, vectors, 3).count() == report.activation(docs, vectors, 3).count() == 0
+
+
+def test_lexical_queries_and_recency(spark):
+    q = retrieval.lexical_query('The rivers and "flowing waters of rivers" studied', most=3)
+    assert q == {"terms": ["river", "flow", "water"], "phrases": [["flow", "water", "river"]]}
+    results = spark.createDataFrame([(1, 10, 0.4, 1), (1, 11, 0.3, 2)], "query_id int, doc_id int, score double, rank int")
+    docs = spark.createDataFrame([(10, 2015), (11, None)], "doc_id int, publication_year int")
+    assert [(r.doc_id, r.score) for r in retrieval.recency(results, docs, 2025, 10).orderBy("rank").collect()] == [(11, 0.3), (10, 0.2)]
+    assert retrieval.recency(results, docs, 2025) is results
+
+
+def test_settings():
+    from skein.settings import Settings, from_environment
+
+    assert from_environment({"SKEIN_YEARS": "5", "SKEIN_LISTING_SPACING": "2.5"}) == Settings(years=5, listing_spacing=2.5)
+    for bad in ({"chunk_overlap": 400}, {"chunk_limit": 600}, {"years": 0}, {"publications": 60}):
+        with pytest.raises(ValueError, match="must"):
+            Settings(**bad)
+
+
+def test_json_rows(spark):
+    from skein.sources.tables import as_json
+
+    assert as_json(spark.createDataFrame([(1, None)], "b int, a string")).first().value == '{"a":null,"b":1}'

@@ -67,5 +67,10 @@ def merge_listings(rows: DataFrame, key: list[str], order: list[str], first: lis
     list column in order of first occurrence, and the number of rows merged."""
     place = F.struct(*order)
     filled = {c: F.when(F.coalesce(F.trim(F.col(c)), F.lit("")) != "", place) for c in first}
-    union = lambda c: F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(place.alias("o"), F.coalesce(c, F.array().cast("array<string>")).alias("v")))), lambda x: x["v"])))
-    return rows.groupBy(*key).agg(*[F.min_by(c, p).alias(c) for c, p in filled.items()], *[union(c).alias(c) for c in lists], F.count("*").alias("n_rows"))
+    merged = rows.groupBy(*key).agg(*[F.min_by(c, p).alias(c) for c, p in filled.items()], F.count("*").alias("n_rows"))
+    for c in lists:
+        # entries meet their key only once each, however many rows repeat them
+        entries = rows.select(*key, place.alias("_o"), F.posexplode(c).alias("_p", "_v")).groupBy(*key, "_v").agg(F.min(F.struct("_o", "_p")).alias("_at"))
+        union = entries.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_v"))), lambda x: x["_v"]).alias(c))
+        merged = merged.join(union, key, "left").withColumn(c, F.coalesce(c, F.array().cast(rows.schema[c].dataType)))
+    return merged.select(*key, *first, *lists, "n_rows")

@@ -67,7 +67,11 @@ def coverage(owners: DataFrame, documents: DataFrame, owner: str, group: str) ->
         F.when(F.col("_all") == 1, "*").otherwise(F.coalesce(group, F.lit(""))).alias("group"), "n_owners", "n_covered", F.round(F.col("n_covered") / F.col("n_owners"), 6).alias("share"))
 
 
-def digest(rows: DataFrame, group: list[str], order: Column, body: Column) -> DataFrame:
-    """A SHA-256 over the ordered bodies of each group, built from their own hashes so that a group's state stays small."""
-    parts = F.array_sort(F.collect_list(F.struct(order.alias("o"), F.sha2(body, 256).alias("h"))))
-    return rows.groupBy(*group).agg(F.sha2(F.array_join(F.transform(parts, lambda x: x["h"]), ""), 256).alias("digest"), F.count("*").alias("n_rows"))
+def digest(rows: DataFrame, group: list[str], order: Column, body: Column, digits: int = 3) -> DataFrame:
+    """A SHA-256 over the ordered bodies of each group, in two levels: rows fall into 16**digits buckets by the hash of
+    their order key, buckets are digested on their own, and the group's digest is that of its buckets' digests. So no
+    task holds a whole group."""
+    keyed = rows.select(*group, order.alias("_o"), F.sha2(body, 256).alias("_h")).withColumn("_b", F.substring(F.sha2("_o", 256), 1, digits))
+    joined = lambda parts: F.sha2(F.array_join(F.transform(F.array_sort(parts), lambda x: x["h"]), ""), 256)
+    buckets = keyed.groupBy(*group, "_b").agg(joined(F.collect_list(F.struct(F.col("_o").alias("o"), F.col("_h").alias("h")))).alias("_d"), F.count("*").alias("_n"))
+    return buckets.groupBy(*group).agg(joined(F.collect_list(F.struct(F.col("_b").alias("o"), F.col("_d").alias("h")))).alias("digest"), F.sum("_n").alias("n_rows"))

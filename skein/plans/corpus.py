@@ -145,8 +145,9 @@ select count(*) as n_documents, count(*) filter (is_active) as n_active, count(*
 with a as (select distinct source_name, snapshot_id from ingestion_runs where snapshot_id is not null), b as (select distinct source_name, snapshot_id from faculty_snapshots)
 select *, 'left' as side from (from a except from b) union all select *, 'right' from (from b except from a)""",
     "snapshot_digests": """
-select source_name, snapshot_id, sha256(string_agg(sha256(content_hash), '' order by source_faculty_key || '|' || content_hash)) as digest, count(*) as n_rows
-from (select distinct source_name, snapshot_id, source_faculty_key, loaded_at, content_hash from faculty_snapshots where content_hash is not null) group by 1, 2""",
+with r as (select distinct source_name, snapshot_id, source_faculty_key || '|' || content_hash as o, sha256(content_hash) as h, loaded_at from faculty_snapshots where content_hash is not null),
+b as (select source_name, snapshot_id, sha256(o)[1:3] as b, sha256(string_agg(h, '' order by o, h)) as d, count(*) as n from r group by 1, 2, 3)
+select source_name, snapshot_id, sha256(string_agg(d, '' order by b)) as digest, sum(n)::bigint as n_rows from b group by 1, 2""",
     "owners_with_documents": """
 select count(*) as n_owners, count(d.faculty_id) as n_with, count(*) - count(d.faculty_id) as n_without
 from (select distinct faculty_id from faculty) f left join (select distinct faculty_id from documents where is_active and faculty_id is not null) d using (faculty_id)""",

@@ -147,7 +147,7 @@ def _examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(text) < 60:
                 continue
             breaks = [m.end() for m in _SENTENCE.finditer(text)] + [m.start() for m in re.finditer(r"(?<=\S)\n", text)]
-            natural = [b for b in breaks if b > 20 and _closed(text[:b].rstrip())] + [b for b in breaks if b > 20 and text[b : b + 1] == "\n" and _kind_of_line(text[:b]) == "list"]
+            natural = [b for b in breaks if b > 20 and _closed(text[max(0, b - TAIL) : b].rstrip())] + [b for b in breaks if b > 20 and text[b : b + 1] == "\n" and _kind_of_line(text[max(0, b - TAIL) : b]) == "list"]
             if natural:
                 rows.append((f"{doc}/1", source, text[: rnd.choice(natural)], 0, rnd.random() < 0.3))
             heads = [m.end() for m in re.finditer(r"\n\s*\n", text) if m.end() > 20]

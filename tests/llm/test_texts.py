@@ -125,6 +125,17 @@ def test_broken_markup_is_survived():
     assert markup.decode("&#233;&eacute;&amp &unknown; &#xD800;") == "éé&amp &unknown; &#xD800;"
 
 
+def test_long_texts_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    for unit in ("**a ", "$$ a\n", "$a ", "{{", "[[", "[a](", "<ref>", "<pre>", "<math>", "\\(", "\\begin{equation}", "\\textbf{", "```\n", "# a\n", "- a\n", "_a ", "''", "x"):
+        blocks = markup.read(unit * (100_000 // len(unit)))
+        markup.elements(blocks)
+        markup.clean_text(blocks)
+    assert time.perf_counter() - began < 30
+
+
 def test_documents_and_boilerplate(spark):
     pages = [(n, "h.org", f"<div class=top>Home About Contact</div><nav><ul><li>Menu {chr(97)}</li></ul></nav><p>Unique text number {n}.</p><h2>Overview</h2><p>See page {n}</p>") for n in range(40)]
     pages += [(100, None, None), (101, "h.org", ""), (102, "o.org", "<p>Home About Contact</p>"), (103, None, "plain"), (103, None, "plain")]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.functions import urls
@@ -98,9 +98,10 @@ def scored_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def redirect_ends(spark: SparkSession, d: str) -> DataFrame:
-    """Ends of redirect chains: every customer key divisible by 3 points to its half, rounded down."""
-    edges = table(spark, d, "customer").filter("c_custkey > 0 and c_custkey % 3 = 0").select(F.col("c_custkey").alias("from_id"), F.floor(F.col("c_custkey") / 2).cast("long").alias("to_id"))
-    return resolve_redirects(edges)
+    """Every piece of a document redirects to the piece before it; the chains end at the first pieces."""
+    pieces = table(spark, d, "documents").filter("chunk_key is not null and external_id is not null")
+    before = F.lag("doc_id").over(Window.partitionBy("external_id").orderBy("chunk_key", "doc_id"))
+    return resolve_redirects(pieces.select(F.col("doc_id").alias("from_id"), before.alias("to_id")))
 
 
 _KEY = "lower(regexp_replace(trim(source_faculty_key), '[\\s/]+$', ''))"
@@ -153,7 +154,6 @@ with a as (select distinct faculty_id, trim(regexp_replace(lower(t), '[^a-z0-9]+
 b as (select distinct author_id, trim(regexp_replace(lower(p.title), '[^a-z0-9]+', ' ', 'g')) as t from (select author_id, unnest(known_papers) as p from author_candidates))
 select faculty_id, author_id, count(*) as n_titles from a join b using (t) group by 1, 2""",
     "redirect_ends": """
-with recursive edges as (select c_custkey as a, c_custkey // 2 as b from customer where c_custkey > 0 and c_custkey % 3 = 0),
-walk as (select a, b from edges union all select w.a, e.b from walk w join edges e on w.b = e.a)
-select a as from_id, min(b) as to_id from walk group by 1""",
+select doc_id as from_id, first_value(doc_id) over w as to_id from documents where chunk_key is not null and external_id is not null
+window w as (partition by external_id order by chunk_key, doc_id) qualify row_number() over w > 1""",
 }

@@ -2,8 +2,8 @@
 
 Every record draws an exponential key, scaled by its quality weight; within a source the records in key order are a
 weighted random permutation. A source's token budget is filled by complete epochs first and then by the records whose
-prefix sum of tokens, in key order, fits into the rest. Prefix sums of a source are taken over narrow bins of the key,
-so that no source is ever ordered in one task.
+prefix sum of tokens, in key order, fits into the rest; a last record closes the gap where one makes it smaller. Prefix
+sums of a source are taken over narrow bins of the key, so that no source is ever ordered in one task.
 """
 
 from __future__ import annotations
@@ -96,8 +96,15 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     marked = join_small(binned, edge, ["source"], "left")
     whole = marked.filter("_edge is null or _bin <> _edge").withColumn("_extra", (F.col("_edge").isNull() & (F.col("rest_tokens") > 0) | (F.col("_bin") < F.col("_edge"))).cast("int"))
     upto = F.col("_below") + F.sum("n_tokens").over(Window.partitionBy("source", "_bin").orderBy("_key", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    # a record that crosses the budget is taken when that ends nearer to it
-    partly = marked.filter("_bin = _edge").withColumn("_upto", upto).withColumn("_extra", (F.col("_upto") - F.col("n_tokens") / 2 <= F.col("rest_tokens")).cast("int"))
+    # records in order as long as they fit; then the one whose size fills the gap best, if any makes it smaller
+    bin_ = Window.partitionBy("source", "_bin")
+    partly = (
+        marked.filter("_bin = _edge").withColumn("_fits", upto <= F.col("rest_tokens"))
+        .withColumn("_gap", F.col("rest_tokens") - F.col("_below") - F.coalesce(F.sum(F.when(F.col("_fits"), F.col("n_tokens"))).over(bin_), F.lit(0)))
+        .withColumn("_off", F.abs(F.col("_gap") - F.col("n_tokens")))
+        .withColumn("_place", F.row_number().over(Window.partitionBy("source", "_bin", "_fits").orderBy("_off", "_key", "doc_id")))
+        .withColumn("_extra", (F.col("_fits") | ((F.col("_place") == 1) & (F.col("_off") < F.col("_gap")))).cast("int"))
+    )
     same = ["doc_id", "source", "n_tokens", "epochs", "max_repeats", "_extra"]
     chosen = (
         whole.select(*same).unionByName(partly.select(*same))

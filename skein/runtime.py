@@ -49,6 +49,8 @@ def join_small(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
     """
     if is_small(right, max_rows):
         return left.join(F.broadcast(right), on, how)
+    if salts <= 1:
+        return left.join(right, on, how)
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in left.columns if c not in on] or [F.lit(0)]), F.lit(salts)).cast("int"))
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")

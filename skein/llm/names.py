@@ -197,7 +197,7 @@ def readings(names: DataFrame) -> DataFrame:
     canon = mapped.groupBy("canon").agg(F.sum("n").alias("canon_n"), (F.sum("firsts") / F.greatest(F.sum("firsts") + F.sum("lasts"), F.lit(1))).alias("share"), F.sum(F.col("firsts") + F.col("lasts")).alias("seen"))
     info = cut(mapped.select("token", "canon").join(canon, "canon").select("token", "canon", "canon_n", F.when(F.col("seen") >= 4, F.col("share")).alias("share")))
     total = parsed.count()
-    full = join_small(exploded, info, ["token"], "left")
+    full = join_small(exploded, info, ["token"], "left", salts=1)
     packed = full.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("pos", "token", "place", F.coalesce("canon", "token").alias("canon"), "share", F.log(F.lit(float(max(total, 2))) / F.coalesce("canon_n", F.lit(1))).alias("weight")))).alias("t"))  # the tokens of one name
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -191,8 +191,8 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 300, rate: float = 1.0, deca
 
 
 def _with_statistics(ends: DataFrame, vocabulary: DataFrame, phrases: DataFrame) -> DataFrame:
-    known = join_small(ends, vocabulary, ["word"], "left")
-    return join_small(known, phrases, ["phrase"], "left")
+    known = join_small(ends, vocabulary, ["word"], "left", salts=1)
+    return join_small(known, phrases, ["phrase"], "left", salts=1)
 
 
 def score_truncation(documents: DataFrame, training_records: int = TRAINING_RECORDS) -> DataFrame:
@@ -213,9 +213,10 @@ def score_truncation(documents: DataFrame, training_records: int = TRAINING_RECO
     total = docs.count()
     share = min(1.0, training_records / max(total, 1))
     picked = with_text.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else with_text
-    sample = join_small(join_small(picked, limits, ["source", "length"], "left"), phrases, ["phrase"], "left").select("doc_id", "source", "text", "core", "mark", "at_limit", F.coalesce("phrase_n", F.lit(0)).alias("phrase_n"))
+    sample = join_small(join_small(picked, limits, ["source", "length"], "left"), phrases, ["phrase"], "left", salts=1).select("doc_id", "source", "text", "core", "mark", "at_limit", F.coalesce("phrase_n", F.lit(0)).alias("phrase_n"))
     made = cut(sample.mapInPandas(_examples, "id string, source string, text string, label int, at_limit boolean"))
-    taught = _with_statistics(endings(made), counts, phrases)
+    lessons = endings(made)
+    taught = _with_statistics(lessons, cut(counts.join(lessons.select("word").distinct(), "word", "left_semi")), phrases)
     rows = taught.mapInPandas(_vectors, "label int, x array<int>").toPandas()  # at most five short rows per sampled record
     if len(rows) == 0 or rows["label"].nunique() < 2:
         return docs.select("doc_id", "source", F.lit(0.0).alias("score"), F.lit(False).alias("truncated"))

@@ -128,6 +128,7 @@ SQL = {
     "url_matches": f"""
 select a.record_id, b.source_record from ({_matched("profile_url", "raw_faculty", "record_id")}) a
 join (select u, min(record_id) as source_record from ({_matched("source_url", "raw_faculty", "record_id")}) group by 1 having count(distinct record_id) = 1) b using (u)""",
+    "name_keys": f"select distinct name, {_FOLD.format('name')} as key from faculty",
     "merged_listings": f"""
 select source_name, key, name, title, coalesce(areas, '') as research_areas, n_rows from (
   select source_name, {_KEY} as key, arg_min(name, record_id) filter (trim(coalesce(name, '')) <> '') as name, arg_min(title, record_id) filter (trim(coalesce(title, '')) <> '') as title, count(*) as n_rows

@@ -116,7 +116,7 @@ _CANON = """
 _PARTS = """
   select url, regexp_replace(regexp_replace(regexp_extract(trim(url), '(?i)^https?://[^/?#]+([^?#]*)', 1), '/+', '/', 'g'), '/$', '') as p,
     array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '\\?([^#]*)', 1), '&'), lambda x: x <> '' and not lower(x) ~ '^(utm_.*|fbclid=.*|gclid=.*|mc_cid=.*|mc_eid=.*)')), '&') as q from ({})"""
-_FOLD = "trim(regexp_replace(lower(strip_accents({})), '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g'))"
+_FOLD = "trim(regexp_replace(replace(lower(strip_accents({})), chr(223), 'ss'), '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g'))"
 
 
 def _matched(column: str, t: str, key: str) -> str:

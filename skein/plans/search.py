@@ -92,7 +92,7 @@ def evidence(spark: SparkSession, d: str) -> DataFrame:
     return top.select("query_id", "doc_id", snippet(F.col("text"), terms(F.col("asked"), 4)).alias("passage"))
 
 
-_WORDS = "list_filter(string_split(trim(regexp_replace(lower(strip_accents({})), '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g')), ' '), lambda x: x <> '')"
+_WORDS = "list_filter(string_split(trim(regexp_replace(replace(lower(strip_accents({})), chr(223), 'ss'), '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g')), ' '), lambda x: x <> '')"
 
 
 def _top(pairs: str, k: int) -> str:

@@ -109,17 +109,6 @@ keyed as (
   from parts)
 select author_id, external_id from keyed
 qualify row_number() over (partition by author_id order by k desc, external_id desc) <= 10""",
-    "p4_found": """
-with v as (
-  select embedding_version, document_id as id, list_transform(embedding, lambda x: x::double) as e from document_embeddings
-  where len(embedding) = 768 and list_sum(list_transform(embedding, lambda x: abs(x))) > 0
-  qualify row_number() over (partition by embedding_version, document_id order by created_at desc) = 1),
-u as (select *, sqrt(list_inner_product(e, e)) as n from v),
-near as (
-  select a.embedding_version, a.id as p, b.id as q, list_inner_product(a.e, b.e) / (a.n * b.n) as s
-  from u a join u b on a.embedding_version = b.embedding_version and a.id <> b.id
-  qualify row_number() over (partition by a.embedding_version, a.id order by s desc, b.id) <= 10)
-select distinct embedding_version, least(p, q) as document_a, greatest(p, q) as document_b from near where s >= 0.80""",
     "p7_found": f"""
 select distinct source_table, item_id from (
   select 'raw_faculty' as source_table, record_id as item_id, biography as text from raw_faculty

@@ -1,6 +1,6 @@
 """Matching entities across two sources without a common key, by collective graph linkage.
 
-Candidates are pairs whose names may denote one person (blocks of surname and initial, or a shared title). The edges of
+Candidates are all pairs whose names may denote one person (blocks of surname and initial, or a shared title). The edges of
 this graph are weighted by the attributes that both sides share, the rarer the heavier; edges that are light against
 the other edges of both their ends are pruned (meta-blocking). The scores that remain are then refined along the graph:
 profiles that resemble each other support each other's match, and persons compete for a profile, until the accepted
@@ -21,8 +21,8 @@ from skein.runtime import cut, frame, join_small
 
 ACCEPT = 2.0
 SUPPORT, RIVALRY, ROUNDS = 0.6, 0.5, 6
-#: Pairs of one block that may share a value for it to make candidates; profiles of a block up to which a name alone tells something.
-MOST_PAIRS, FEW = 10_000, 20
+#: Entities of one side of a block that meet those of the other in one task.
+PIECE = 2_000
 #: Rarity (log of entities per entity that has it) from which a word may be part of a phrase, and of a phrase to count.
 WORD_RARITY, PHRASE_RARITY, PHRASE_RANGE = 1.8, 3.5, 2.0
 #: Abbreviations in affiliations.
@@ -94,17 +94,33 @@ def _given_score(a: Column, b: Column, la: Column, lb: Column) -> Column:
     return F.when(conflict, None).when(same, F.when(agreed, 1.2).otherwise(1.0)).when(close, 0.7).when(initial, F.when(agreed, 0.5).otherwise(0.2))
 
 
-def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a, b) of the pairs that share a block and a value in it: (id, block, kind, value) on both sides.
+def _meet(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """left joined with right on keys, every pair of them: a key of many rows is dealt in pieces of both sides.
 
-    Joined on block and value at once, so that a block with a third of all entities is split by its values. A value
-    that more than MOST_PAIRS pairs of one block share tells them apart no better than the block itself: it makes no
-    candidates there, but counts for those that other values make.
+    Columns other than the keys have different names on both sides.
     """
-    keys = ["block", "kind", "value"]
-    sizes = left.groupBy(*keys).agg(F.count("*").alias("n")).join(right.groupBy(*keys).agg(F.count("*").alias("m")), keys)
-    telling = cut(sizes.filter(F.col("n") * F.col("m") <= MOST_PAIRS).select(*keys))
-    return left.join(telling, keys).withColumnRenamed("id", "a").join(right.withColumnRenamed("id", "b"), keys).select("a", "b").distinct()
+    pieces = lambda n: F.ceil(F.col(n) / PIECE).cast("int")
+    counts = cut(left.groupBy(*keys).agg(F.count("*").alias("n")).join(right.groupBy(*keys).agg(F.count("*").alias("m")), keys).select(*keys, pieces("n").alias("n"), pieces("m").alias("m")))
+    place = lambda df, n: F.pmod(F.xxhash64(*[c for c in df.columns if c not in keys]), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    mine = left.join(counts, keys).withColumn("_i", place(left, "n").cast("int")).withColumn("_j", every("m")).drop("n", "m")
+    theirs = right.join(counts, keys).withColumn("_j", place(right, "m").cast("int")).withColumn("_i", every("n")).drop("n", "m")
+    return mine.join(theirs, [*keys, "_i", "_j"]).drop("_i", "_j")
+
+
+def _candidates(names: DataFrame, titles: DataFrame) -> DataFrame:
+    """(a, b) of all pairs that share a block and whose given names don't speak against one person.
+
+    names: (side, id, surname, given, letters); titles: (side, id, value). Names that agree have the same initial, so
+    a shared title is split by it as well.
+    """
+    initial = F.substring("letters", 1, 1).alias("i")
+    by_surname = names.select("side", "id", "given", "letters", F.explode(F.split("surname", " ")).alias("block"), initial, F.lit("name").alias("by"))
+    by_title = names.join(titles, ["side", "id"]).select("side", "id", "given", "letters", F.col("value").alias("block"), initial, F.lit("title").alias("by"))
+    rows = cut(by_surname.unionByName(by_title).filter("i <> ''").distinct())
+    of = lambda k, key: rows.filter(F.col("side") == k).select("by", "block", "i", F.col("id").alias(key), F.col("given").alias(f"g_{key}"), F.col("letters").alias(f"l_{key}"))
+    pairs = _meet(of("a", "a"), of("b", "b"), ["by", "block", "i"])
+    return pairs.filter(_given_score(F.col("g_a"), F.col("g_b"), F.col("l_a"), F.col("l_b")).isNotNull()).select("a", "b").distinct()
 
 
 def _edges(candidates: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
@@ -142,20 +158,10 @@ def link(persons: DataFrame, profiles: DataFrame) -> DataFrame:
     read = readings(both.select("name").filter(F.trim("name") != "").distinct())
     named = cut(both.select("side", "id", "name").filter("name is not null").distinct().join(read.select("name", "surname", "given", "letters"), "name").filter("surname <> ''").drop("name").distinct())
     found = cut(attributes(merged))
-    # blocks: every surname with the initial; a shared title is a block of its own, for names that were mangled
-    by_name = named.select("side", "id", F.explode(F.split("surname", " ")).alias("s"), F.substring("letters", 1, 1).alias("i")).select("side", "id", F.concat_ws("|", "s", "i").alias("block")).distinct()
     poor = merged.join(found.filter("kind in ('title', 'phrase')").select("side", "id").distinct(), ["side", "id"], "left_anti").filter("side = 'a'").select("id", F.lit(True).alias("poor"))
-    blocked = by_name.join(found, ["side", "id"])
-    # persons about whom nothing is known meet the profiles of their block by this value, unless their name is so common
-    # that it tells nothing
-    common = by_name.filter("side = 'b'").groupBy("block").agg(F.count("*").alias("n")).filter(F.col("n") > FEW)
-    nothing = by_name.filter("side = 'a'").join(poor.select("id"), "id", "left_semi").unionByName(by_name.filter("side = 'b'")).join(common, "block", "left_anti").select("side", "id", "block", F.lit("none").alias("kind"), F.lit("").alias("value"))
-    by_title = found.filter("kind = 'title'").select("side", "id", F.col("value").alias("block"), "kind", "value")
-    # frequent words and units needn't make candidates: alone they never suffice for a match
-    rows = cut(blocked.filter("kind in ('title', 'phrase') or rarity >= 3").select("side", "id", "block", "kind", "value").unionByName(nothing).unionByName(by_title))
-    side = lambda k: rows.filter(F.col("side") == k).drop("side")
     values = lambda k: found.filter(F.col("side") == k).select("id", "kind", "value", "rarity")
-    edges = _edges(cut(_candidates(side("a"), side("b"))), values("a"), values("b").drop("rarity"))
+    # blocks: every surname with the initial; a shared title is a block of its own, for names that were mangled
+    edges = _edges(cut(_candidates(named, found.filter("kind = 'title'").select("side", "id", "value"))), values("a"), values("b").drop("rarity"))
     # meta-blocking: an edge stays if it is not light against the heaviest one at either end
     heaviest = lambda c: F.max("weight").over(Window.partitionBy(c))
     pruned = edges.withColumn("h_a", heaviest("a")).withColumn("h_b", heaviest("b")).filter((F.col("weight") >= 0.1 * F.col("h_a")) | (F.col("weight") >= 0.1 * F.col("h_b"))).drop("h_a", "h_b")
@@ -173,10 +179,12 @@ def link(persons: DataFrame, profiles: DataFrame) -> DataFrame:
     )
     home = F.when(F.col("fields") > 0, 0.8).when(F.col("units") > 0, 0.4).when(F.col("has"), -0.6).otherwise(0.0)
     base = cut(scored.select("a", "b", (F.col("name_points") + _evidence(scored) + home + F.when(F.col("poor"), 0.6).otherwise(0.0)).alias("base")))
-    # profiles of one block that share a title or phrases resemble each other
-    c = side("b").filter("kind in ('title', 'phrase')").join(base.select(F.col("b").alias("id")).distinct(), "id", "left_semi")
-    pairs = cut(_candidates(c, c).filter("a <> b"))
-    telling = values("b").filter("kind in ('title', 'phrase')")
+    # profiles of one block that share a title or phrases resemble each other; phrases of less rarity add nothing to it
+    telling = values("b").filter(f"kind = 'title' or kind = 'phrase' and rarity > {PHRASE_RARITY}")
+    known = telling.join(base.select(F.col("b").alias("id")).distinct(), "id", "left_semi").select("id", "kind", "value")
+    by_name = named.filter("side = 'b'").select("id", F.explode(F.split("surname", " ")).alias("s"), F.substring("letters", 1, 1).alias("i")).distinct()
+    c = cut(known.join(by_name.select("id", F.concat_ws("|", "s", "i").alias("block")), "id").unionByName(known.filter("kind = 'title'").withColumn("block", F.lit(""))))
+    pairs = cut(_meet(c.withColumnRenamed("id", "a"), c.withColumnRenamed("id", "b"), ["block", "kind", "value"]).filter("a <> b").select("a", "b").distinct())
     like = _edges(pairs, telling, telling.drop("rarity"))
     like = cut(like.select(F.col("a").alias("b"), F.col("b").alias("other"), F.least(F.lit(1.0), F.col("titles") + F.col("phrases") / 3).alias("alike")).filter("alike > 0"))
     scores, accepted = base.withColumn("score", F.col("base")), None

@@ -133,3 +133,31 @@ def test_linkage(spark):
     assert len(rows) == len(got) and all(0 < r.confidence <= 1 for r in rows)
     assert len(got & truth) >= 0.95 * len(truth) and len(got - truth) <= 1
     assert linkage.link(a.limit(0), b).count() == linkage.link(a, b.limit(0)).count() == 0
+
+
+def pairs_of(spark, people, profiles):
+    rows = linkage.link(spark.createDataFrame(people, ENTITY), spark.createDataFrame(profiles, ENTITY)).collect()
+    return {(int(r.person_id), int(r.profile_id)) for r in rows}
+
+
+def given_names(n, letter="A"):
+    rnd = random.Random(5)
+    return [letter + "".join(rnd.choice("bdfgklmnprstvz") + rnd.choice("aeiou") for _ in range(4)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("piece", [2_000, 40])
+def test_a_value_that_a_whole_block_shares_still_makes_candidates(spark, monkeypatch, piece):
+    monkeypatch.setattr(linkage, "PIECE", piece, raising=False)
+    shared = ["Annual survey of quarried stones"]
+    given = given_names(105)
+    people = [entity(k, f"{g} Vormelder", shared) for k, g in enumerate(given)]
+    profiles = [entity(1000 + k, f"{g} Vormelder", shared) for k, g in enumerate(given)]
+    assert pairs_of(spark, people, profiles) == {(k, 1000 + k) for k in range(105)}
+
+
+def test_name_only_persons_are_scored_in_large_blocks(spark):
+    # middle initials agree and two profiles with the same title support each other
+    people = [entity(1, "Ann B. Vormelder"), *[entity(10 + k, f"{g} Tiskamel") for k, g in enumerate(given_names(5, "O"))]]
+    title = ["Annual survey of quarried stones"]
+    profiles = [entity(1000, "Ann B. Vormelder", title), entity(1001, "Ann B. Vormelder", title)] + [entity(2000 + k, f"{g} Vormelder") for k, g in enumerate(given_names(30))]
+    assert pairs_of(spark, people, profiles) == {(1, 1000), (1, 1001)}

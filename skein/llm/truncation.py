@@ -25,6 +25,8 @@ from skein.runtime import cut, frame, join_small
 #: Bound of the sample of labelled records that the model is fitted on.
 TRAINING_RECORDS = 20_000
 TAIL = 400
+#: Share of the distinct texts with an omission mark from which a common ending is a way of writing, and the texts it needs at least.
+USUAL_SHARE, USUAL_TEXTS = 0.05, 5
 BITS = 15
 
 #: Signs of omission as they are put after a cut.
@@ -70,6 +72,18 @@ def _limits(ends: DataFrame) -> DataFrame:
     return join_small(counts, totals, ["source"]).filter("n >= 4 and n >= all / 100 and length >= 40").select("source", "length", F.lit(True).alias("at_limit"))
 
 
+def _usual(ends: DataFrame) -> DataFrame:
+    """(phrase, usual): closing words with an omission mark that many distinct texts share, as writers put them.
+
+    Copies count once, and the limit is a share of all texts with a mark, so that cuts that happen to end alike don't
+    become usual as a table grows.
+    """
+    counts = ends.filter("mark <> '' and phrase <> ''").select("phrase", F.sha2(F.lower(squeeze(F.col("text"))), 256).alias("t")).distinct().groupBy("phrase").agg(F.count("*").alias("n"))
+    counts = cut(counts)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.filter(F.col("n") >= max(USUAL_TEXTS, USUAL_SHARE * total)).select("phrase", F.lit(True).alias("usual"))
+
+
 def _closed(core: str) -> bool:
     """Whether a text without omission mark ends like a complete sentence."""
     return core.rstrip(_CLOSERS)[-1:] in _ENDERS if core else False
@@ -107,7 +121,7 @@ def _bin(n: float) -> str:
     return "0" if not n else "few" if n < 3 else "some" if n < 10 else "many"
 
 
-def features(core: str, mark: str, at_limit: bool, word: str, word_n: float, word_ends: float, phrase_n: float) -> list[int]:
+def features(core: str, mark: str, at_limit: bool, word: str, word_n: float, word_ends: float, usual: bool) -> list[int]:
     """Indices of the hashed features of one ending."""
     line, apart = _last_line(core)
     words = line.split()
@@ -116,7 +130,7 @@ def features(core: str, mark: str, at_limit: bool, word: str, word_n: float, wor
     stripped = core.rstrip(_CLOSERS)[-1:]
     closing = "ender" if stripped in _ENDERS and stripped else "lower" if last.islower() else "upper" if last.isupper() else "digit" if last.isdigit() else "closer" if last in _CLOSERS and last else last
     marked = "none" if not mark else "word" if "more" in mark or "cont" in mark else "bad" if chr(0xFFFD) in mark else "dots"
-    often = "many" if phrase_n >= 5 else "few"
+    often = "many" if usual else "few"
     ends = _bin(word_ends)
     link = "link" if _LINK.search(core) else "ref" if _REFERENCE.search(core) and closing != "ender" else "plain"
     size = min(len(words), 9)
@@ -137,9 +151,9 @@ def _examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Labelled texts from intact ones: whole, cut behind a sentence or line, and cut somewhere within."""
     for batch in batches:
         rows = []
-        for doc, source, text, core, mark, limit, phrase_n in batch[["doc_id", "source", "text", "core", "mark", "at_limit", "phrase_n"]].itertuples(index=False):
+        for doc, source, text, core, mark, limit, usual in batch[["doc_id", "source", "text", "core", "mark", "at_limit", "usual"]].itertuples(index=False):
             limit = bool(limit) if limit == limit and limit is not None else False
-            intact = (phrase_n >= 5) if mark else _closed(core) or _structured(core, limit)
+            intact = usual if mark else _closed(core) or _structured(core, limit)
             if not intact:
                 continue
             rnd = random.Random(xxhash.xxh64_intdigest(str(doc)))
@@ -169,9 +183,9 @@ def _vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _arguments(batch: pd.DataFrame) -> Iterator[tuple]:
-    filled = batch.fillna({"word_n": 0, "word_ends": 0, "phrase_n": 0, "mark": "", "word": "", "core": ""})
-    limit = batch["at_limit"].map(lambda v: v is True or v == 1)
-    return zip(filled["core"], filled["mark"], limit, filled["word"], filled["word_n"], filled["word_ends"], filled["phrase_n"], strict=True)
+    filled = batch.fillna({"word_n": 0, "word_ends": 0, "mark": "", "word": "", "core": ""})
+    limit, usual = (batch[c].map(lambda v: v is True or v == 1) for c in ("at_limit", "usual"))
+    return zip(filled["core"], filled["mark"], limit, filled["word"], filled["word_n"], filled["word_ends"], usual, strict=True)
 
 
 def fit(x: np.ndarray, y: np.ndarray, rounds: int = 300, rate: float = 1.0, decay: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -207,13 +221,13 @@ def score_truncation(documents: DataFrame, training_records: int = TRAINING_RECO
     # statistics over all records; only what the endings ask for is kept
     asked = with_text.select("word").distinct()
     counts = cut(_vocabulary(docs))
-    phrases = cut(with_text.filter("mark <> '' and phrase <> ''").groupBy("phrase").agg(F.count("*").alias("phrase_n")).filter("phrase_n >= 3"))
+    phrases = cut(_usual(with_text))
     limits = cut(_limits(with_text.select("source", "length")))
     vocabulary = cut(counts.join(asked, "word", "left_semi"))
     total = docs.count()
     share = min(1.0, training_records / max(total, 1))
     picked = with_text.filter(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else with_text
-    sample = join_small(join_small(picked, limits, ["source", "length"], "left"), phrases, ["phrase"], "left", salts=1).select("doc_id", "source", "text", "core", "mark", "at_limit", F.coalesce("phrase_n", F.lit(0)).alias("phrase_n"))
+    sample = join_small(join_small(picked, limits, ["source", "length"], "left"), phrases, ["phrase"], "left", salts=1).select("doc_id", "source", "text", "core", "mark", "at_limit", F.coalesce("usual", F.lit(False)).alias("usual"))
     made = cut(sample.mapInPandas(_examples, "id string, source string, text string, label int, at_limit boolean"))
     lessons = endings(made)
     taught = _with_statistics(lessons, cut(counts.join(lessons.select("word").distinct(), "word", "left_semi")), phrases)
@@ -232,7 +246,7 @@ def score_truncation(documents: DataFrame, training_records: int = TRAINING_RECO
             yield pd.DataFrame({"doc_id": batch["doc_id"], "source": batch["source"], "score": p})
 
     known = join_small(_with_statistics(ends.drop("text"), vocabulary, phrases), limits, ["source", "length"], "left")
-    scored = known.select("doc_id", "source", "core", "mark", "at_limit", "word", "word_n", "word_ends", "phrase_n").mapInPandas(score, f"doc_id {dict(docs.dtypes)['doc_id']}, source string, score double")
+    scored = known.select("doc_id", "source", "core", "mark", "at_limit", "word", "word_n", "word_ends", "usual").mapInPandas(score, f"doc_id {dict(docs.dtypes)['doc_id']}, source string, score double")
     return scored.withColumn("truncated", _over(F.col("score")))
 
 

@@ -188,3 +188,17 @@ def test_truncation_without_anything_to_learn(spark):
     assert truncation.score_truncation(spark.createDataFrame([], shape)).count() == 0
     one = truncation.score_truncation(spark.createDataFrame([(1, None, None), (1, None, None)], shape)).collect()
     assert [(r.score, r.truncated) for r in one] == [(0.0, False)] * 2
+
+
+def test_cuts_that_end_alike_are_cuts_in_copies_and_in_large_tables(spark):
+    rows, cut = corpus()
+    whole = max((r[1] for r in rows if r[0] not in cut and r[1]), key=len)
+    copy = whole[: len(whole) // 2].rsplit(" ", 2)[0] + " then the..."
+    copies = [(7000 + k, copy, "s1", "") for k in range(8)]
+    # six texts that were cut behind the same words, among two hundred others with a mark
+    texts = [r[1] for r in rows if r[0] not in cut and r[1] and len(r[1]) > 200]
+    same = [(8000 + k, texts[k][: 100 + k].rsplit(" ", 1)[0] + " within the new...", "s2", "") for k in range(6)]
+    other = [(9000 + k, texts[k % len(texts)][: 60 + k % 90].rsplit(" ", 1)[0] + f" word{k}...", "s2", "") for k in range(200)]
+    df = spark.createDataFrame(rows + copies + same + other, "doc_id long, text string, source string, score string")
+    found = {r.doc_id for r in truncation.score_truncation(df).filter("truncated").collect()}
+    assert {r[0] for r in copies + same} <= found

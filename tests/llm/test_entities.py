@@ -161,3 +161,11 @@ def test_name_only_persons_are_scored_in_large_blocks(spark):
     title = ["Annual survey of quarried stones"]
     profiles = [entity(1000, "Ann B. Vormelder", title), entity(1001, "Ann B. Vormelder", title)] + [entity(2000 + k, f"{g} Vormelder") for k, g in enumerate(given_names(30))]
     assert pairs_of(spark, people, profiles) == {(1, 1000), (1, 1001)}
+
+
+def test_a_common_unit_and_the_same_name_suffice(spark):
+    school, title = ["School of Engineering"], ["Annual survey of quarried stones"]  # rarity of the unit: log(56 / 6) = 2.2
+    people = [entity(1, "Ann B. Vormelder", title, (), school), entity(2, "Olga Tiskamel", title)]
+    given = given_names(53, "O")
+    profiles = [entity(1000, "Ann B. Vormelder", (), (), school)] + [entity(2000 + k, f"{g} Hedvalin", (), (), school if k < 4 else ()) for k, g in enumerate(given)]
+    assert (1, 1000) in pairs_of(spark, people, profiles)

@@ -20,7 +20,9 @@ from skein.llm.names import fold, misspelt, readings
 from skein.runtime import cut, frame, join_small
 
 ACCEPT = 2.0
-SUPPORT, RIVALRY, ROUNDS = 0.6, 0.5, 6
+SUPPORT, RIVALRY = 0.6, 0.5
+#: Rounds after which matches that still change are an error.
+ROUNDS = 100
 #: Entities of one side of a block that meet those of the other in one task.
 PIECE = 2_000
 #: Rarity (log of entities per entity that has it) from which a word may be part of a phrase, and of a phrase to count.
@@ -199,6 +201,8 @@ def link(persons: DataFrame, profiles: DataFrame) -> DataFrame:
         if state == accepted:
             break
         accepted = state
+    else:
+        raise RuntimeError(f"the matches still change after {ROUNDS} rounds")
     return scores.filter(F.col("score") >= ACCEPT).select(F.col("a").alias("person_id"), F.col("b").alias("profile_id"), F.round(1 / (1 + F.exp(-2 * (F.col("score") - ACCEPT + 0.5))), 6).alias("confidence"))
 
 

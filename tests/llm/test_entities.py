@@ -169,3 +169,10 @@ def test_a_common_unit_and_the_same_name_suffice(spark):
     given = given_names(53, "O")
     profiles = [entity(1000, "Ann B. Vormelder", (), (), school)] + [entity(2000 + k, f"{g} Hedvalin", (), (), school if k < 4 else ()) for k, g in enumerate(given)]
     assert (1, 1000) in pairs_of(spark, people, profiles)
+
+
+def test_matches_that_do_not_settle_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(linkage, "ROUNDS", 1)
+    title = ["Annual survey of quarried stones"]
+    with pytest.raises(RuntimeError, match="still change"):
+        pairs_of(spark, [entity(1, "Ann B. Vormelder", title)], [entity(1000, "Ann B. Vormelder", title)])

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 #: Ranges of the Unicode property White_Space.
 _WHITE = [(0x09, 0x0D), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
 #: The same as the inside of a character class, for Java and Python patterns alike.
-SPACE = "".join("\\%s%04x-\\%s%04x" % ("u", a, "u", b) for a, b in _WHITE)
+SPACE = "".join("\\u%04x-\\u%04x" % (a, b) for a, b in _WHITE)
 
 #: All white space characters, as a set for trimming.
 SPACES = "".join(chr(c) for a, b in _WHITE for c in range(a, b + 1))

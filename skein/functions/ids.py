@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from skein.functions.text import clean_text
+
 #: Name space of our own document ids.
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_DNS, "skein.example")
 
@@ -23,12 +25,15 @@ def uuid5(name: Column, namespace: uuid.UUID = NAMESPACE) -> Column:
 
 
 def document_id(owner: Column, kind: Column, external_id: Column, chunk_key: Column) -> Column:
-    return uuid5(F.concat_ws("|", owner.cast("string"), kind, external_id, chunk_key))
+    """UUID of a document; null parts count as empty but keep their place, so no two tuples share an id."""
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (owner, kind, external_id, chunk_key)]
+    return uuid5(F.concat_ws("|", *parts))
 
 
 def content_hash(title: Column, text: Column) -> Column:
-    """SHA-256 of title, newline and text; null counts as empty."""
-    return F.sha2(F.concat(F.coalesce(title, F.lit("")), F.lit("\n"), F.coalesce(text, F.lit(""))), 256)
+    """SHA-256 of the cleaned title, a newline and the cleaned text; null counts as empty. Texts that differ only in white
+    space or compatibility forms have one hash."""
+    return F.sha2(F.concat(F.coalesce(clean_text(title), F.lit("")), F.lit("\n"), F.coalesce(clean_text(text), F.lit(""))), 256)
 
 
 def record_hash(columns: list[str]) -> Column:

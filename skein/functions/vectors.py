@@ -26,4 +26,5 @@ def unit(a: Column) -> Column:
     """The vector with length one; an error for zero or non-finite vectors."""
     n = norm(a)
     ok = (n > 0) & (n < float("inf")) & ~F.isnan(n)
-    return F.when(ok, F.transform(a, lambda x: x.cast("double") / n)).otherwise(F.raise_error(F.lit("vector without a finite length above zero")))
+    # the length is handed over as an array, since within a lambda it would be computed anew for every entry
+    return F.when(ok, F.zip_with(a, F.array_repeat(n, F.size(a)), lambda x, y: x.cast("double") / y)).otherwise(F.raise_error(F.lit("vector without a finite length above zero")))

@@ -6,24 +6,22 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skein.sources.files import Files
+
 
 class Store:
     """A folder of any Hadoop file system: <folder>/<table>/v=<n>/ and <folder>/manifest.json.
 
     One writer at a time. Readers see either all tables of a publication or none; a version that is being read is never
-    overwritten.
+    overwritten. The manifest is replaced by one renaming step.
     """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._files = Files(spark, self.folder)
 
     def manifest(self) -> dict[str, int]:
-        path = self._path(f"{self.folder}/manifest.json")
-        if not self._fs.exists(path):
-            return {}
-        return json.loads("\n".join(r.value for r in self.spark.read.text(f"{self.folder}/manifest.json").toLocalIterator()))
+        return json.loads(self._files.text(f"{self.folder}/manifest.json") or "{}")
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{table}/v={self.manifest()[table]}")
@@ -40,15 +38,5 @@ class Store:
             following[name] = current.get(name, 0) + 1
             df.write.mode("overwrite").parquet(f"{self.folder}/{name}/v={following[name]}")
         following |= marks or {}
-        self._replace(following)
+        self._files.replace(f"{self.folder}/manifest.json", json.dumps(following))
         return following
-
-    def _replace(self, following: dict[str, int]) -> None:
-        fresh, path = self._path(f"{self.folder}/manifest.json.new"), self._path(f"{self.folder}/manifest.json")
-        out = self._fs.create(fresh, True)
-        out.write(bytearray(json.dumps(following).encode()))
-        out.close()
-        if self._fs.exists(path):
-            self._fs.delete(path, False)
-        if not self._fs.rename(fresh, path):
-            raise OSError(f"{path.toString()} could not be replaced")

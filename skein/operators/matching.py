@@ -25,7 +25,8 @@ def reconcile(listing: DataFrame, feed: DataFrame) -> DataFrame:
 
     listing: (listing_id, url, name); feed: (feed_id, url, name). Rows with an address match by that alone; the others
     by name key, or else by first and last name with an omitted initial, and only if exactly one feed row remains.
-    Returns (listing_id, feed_id, how): how is url, name, initial, unmatched (no feed_id), or left_over (no listing_id).
+    Returns (listing_id, feed_id, how): how is url, name, initial, unmatched (no feed_id), left_over (no listing_id), or
+    repeated (a feed row that several listing rows took, in addition to their own rows).
     """
     a = listing.select("listing_id", match_key(F.col("url")).alias("u"), name_key(F.col("name")).alias("k")).distinct()
     b = feed.select("feed_id", match_key(F.col("url")).alias("u"), name_key(F.col("name")).alias("k")).distinct()
@@ -40,7 +41,16 @@ def reconcile(listing: DataFrame, feed: DataFrame) -> DataFrame:
     found = by_url.unionByName(by_name).unionByName(by_initial)
     none = a.select("listing_id").distinct().join(found, "listing_id", "left_anti").select("listing_id", F.lit(None).cast(dict(b.dtypes)["feed_id"]).alias("feed_id"), F.lit("unmatched").alias("how"))
     over = b.select("feed_id").distinct().join(found, "feed_id", "left_anti").select(F.lit(None).cast(dict(a.dtypes)["listing_id"]).alias("listing_id"), "feed_id", F.lit("left_over").alias("how"))
-    return found.unionByName(none).unionByName(over)
+    twice = found.groupBy("feed_id").agg(F.count_distinct("listing_id").alias("n")).filter("n > 1").select(F.lit(None).cast(dict(a.dtypes)["listing_id"]).alias("listing_id"), "feed_id", F.lit("repeated").alias("how"))
+    return found.unionByName(none).unionByName(over).unionByName(twice)
+
+
+def completeness(reconciled: DataFrame) -> DataFrame:
+    """(complete, n_matched, n_unmatched, n_left_over, n_repeated) of a reconciliation: complete if all rows of both
+    sides found each other once."""
+    kinds = {"n_unmatched": "unmatched", "n_left_over": "left_over", "n_repeated": "repeated"}
+    counted = reconciled.agg(F.count_if(F.col("how").isin("url", "name", "initial")).alias("n_matched"), *[F.count_if(F.col("how") == v).alias(k) for k, v in kinds.items()])
+    return counted.select(((F.col("n_unmatched") + F.col("n_left_over") + F.col("n_repeated")) == 0).alias("complete"), "*")
 
 
 def score_candidates(pairs: DataFrame, home: list[str]) -> DataFrame:
@@ -88,6 +98,11 @@ def decide(best: DataFrame) -> DataFrame:
     return best.withColumn("decision", F.when(sure, "match").when(F.col("score") >= AMBIGUOUS, "unclear").otherwise("none"))
 
 
+def validate_links(links: DataFrame, delivered: Column, compatible: Column) -> DataFrame:
+    """Adds outcome to stored links: kept, unclear if the profile was delivered under another name, lost if it wasn't."""
+    return links.withColumn("outcome", F.when(~delivered, "lost").when(F.coalesce(compatible, F.lit(False)), "kept").otherwise("unclear"))
+
+
 def several_ids(links: DataFrame, entity: list[str], identifier: str) -> DataFrame:
     """Entities that carry more than one distinct identifier."""
     return links.filter(F.col(identifier).isNotNull()).groupBy(*entity).agg(F.count_distinct(identifier).alias("n_ids")).filter("n_ids > 1")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions.canonical import squeeze
-from skein.runtime import is_small
+from skein.runtime import cut, join_small
 
 
 def source_key(column: Column) -> Column:
@@ -28,8 +28,9 @@ def corpus_health(documents: DataFrame) -> DataFrame:
     )
 
 
-def counts_by(documents: DataFrame, key: Column, name: str) -> DataFrame:
-    return documents.groupBy(key.alias(name)).agg(F.count("*").alias("n"), F.count_if("is_active").alias("n_active"), F.count_if(~F.col("is_active")).alias("n_inactive"), F.count_if(F.col("n_chars").isNull()).alias("n_without_size"))
+def counts_by(rows: DataFrame, key: Column, name: str, more: dict[str, Column]) -> DataFrame:
+    """Rows per key: all, active, inactive, and those for which each condition of `more` holds; rows: (is_active, ...)."""
+    return rows.groupBy(key.alias(name)).agg(F.count("*").alias("n"), F.count_if("is_active").alias("n_active"), F.count_if(~F.col("is_active")).alias("n_inactive"), *[F.count_if(c).alias(k) for k, c in more.items()])
 
 
 def owners_with_documents(owners: DataFrame, documents: DataFrame, owner: str) -> DataFrame:
@@ -38,17 +39,26 @@ def owners_with_documents(owners: DataFrame, documents: DataFrame, owner: str) -
     return owners.select(owner).distinct().join(having, owner, "left").agg(F.count("*").alias("n_owners"), F.count("_has").alias("n_with"), (F.count("*") - F.count("_has")).alias("n_without"))
 
 
-def missing_vectors(documents: DataFrame, vectors: DataFrame, dimension: int) -> DataFrame:
-    """(doc_id, embedding_version, reason): active documents with text that lack a vector of a version, or whose vector
-    is older than the document or not usable. Versions are those that occur in vectors."""
-    versions = vectors.select("embedding_version").filter("embedding_version is not null").distinct()
-    if not is_small(versions, 1000):
-        raise ValueError("more than a thousand embedding versions")
-    wanted = documents.filter(F.col("is_active") & (F.coalesce(F.trim("text"), F.lit("")) != "")).select("doc_id", F.col("created_at").alias("_made")).crossJoin(F.broadcast(versions))  # counted above
-    shaped = vectors.select(F.col("document_id").alias("doc_id"), "embedding_version", F.col("created_at").alias("_at"), (F.coalesce(F.size("embedding"), F.lit(-1)) == dimension).alias("_fit"))
-    latest = shaped.groupBy("doc_id", "embedding_version").agg(F.max(F.struct("_at", "_fit")).alias("x"))
+def searchable(documents: DataFrame, owners: DataFrame | None = None, owner: str = "faculty_id") -> DataFrame:
+    """Active documents with text; with owners (owner, is_active) only those of active owners."""
+    found = documents.filter(F.col("is_active") & (F.coalesce(F.trim("text"), F.lit("")) != ""))
+    return found if owners is None else found.join(owners.filter("is_active").select(owner).distinct(), owner, "left_semi")
+
+
+def missing_vectors(documents: DataFrame, vectors: DataFrame, dimension: int, owners: DataFrame | None = None) -> DataFrame:
+    """(doc_id, embedding_version, reason): searchable documents that lack a vector of a version, or whose vector was
+    made from other content (stale) or is not usable. Versions are those that occur in vectors.
+
+    documents: with content_hash; vectors: (document_id, embedding_version, embedding, document_hash, created_at), where
+    document_hash is the content hash of what the vector was made from. Of several vectors the latest counts.
+    """
+    versions = cut(vectors.select("embedding_version").filter("embedding_version is not null").distinct())
+    wanted = searchable(documents, owners).select("doc_id", F.col("content_hash").alias("_hash"))
+    wanted = join_small(wanted.withColumn("_one", F.lit(1)), versions.withColumn("_one", F.lit(1)), ["_one"]).drop("_one")
+    shaped = vectors.select(F.col("document_id").alias("doc_id"), "embedding_version", F.col("created_at").alias("_at"), (F.coalesce(F.size("embedding"), F.lit(-1)) == dimension).alias("_fit"), F.col("document_hash").alias("_made"))
+    latest = shaped.groupBy("doc_id", "embedding_version").agg(F.max(F.struct("_at", "_fit", "_made")).alias("x"))
     joined = wanted.join(latest, ["doc_id", "embedding_version"], "left")
-    reason = F.when(F.col("x").isNull(), "missing").when(~F.col("x._fit"), "unusable").when(F.col("x._at") < F.col("_made"), "stale")
+    reason = F.when(F.col("x").isNull(), "missing").when(~F.col("x._fit"), "unusable").when(~F.col("x._made").eqNullSafe(F.col("_hash")), "stale")
     return joined.select("doc_id", "embedding_version", reason.alias("reason")).filter("reason is not null")
 
 

@@ -12,8 +12,12 @@ from skein.operators.components import resolve_redirects
 from skein.operators.snapshots import canonical_key, complete_snapshots
 from skein.operators.state import absence_after, affiliations_of, preferred
 from skein.sources.landing import plain_text
+from skein.runtime import meet
 from skein.sources.tables import table
 
+#: Words of affiliations that count as the persons' own institution, in the data these queries run on.
+HOME = ["northvale"]
+
 
 def canonical_urls(spark: SparkSession, d: str) -> DataFrame:
     feed = table(spark, d, "people_feed").select(F.col("profile_url").alias("url"))
@@ -92,11 +96,27 @@ def scored_candidates(spark: SparkSession, d: str) -> DataFrame:
     block = lambda c: F.concat_ws("|", F.element_at(words(c), -1), F.substring(name_key(c), 1, 1))
     a = table(spark, d, "faculty").dropDuplicates(["faculty_id"]).select(F.col("faculty_id").alias("person_id"), "name", "affiliations", F.col("known_publication_titles").alias("titles"), "research_text", block(F.col("name")).alias("block"))
     b = table(spark, d, "author_candidates").dropDuplicates(["author_id"]).select(F.col("author_id").alias("candidate_id"), F.col("name").alias("candidate_name"), F.col("affiliations").alias("candidate_affiliations"), F.col("known_papers.title").alias("candidate_titles"), "topics", block(F.col("name")).alias("block"))
-    scored = matching.score_candidates(a.join(b, "block").withColumn("direct", F.lit(False)), ["northvale"])
+    pairs = meet(a, b, ["block"]).join(_persisted(spark, d), ["person_id", "candidate_id"], "left").withColumn("direct", F.col("stored").isNotNull())
+    scored = matching.score_candidates(pairs, HOME)
     best = matching.decide(matching.best_with_margin(scored, "person_id", "candidate_id"))
     return best.select("person_id", "candidate_id", "score", "second", "margin", "decision")
 
 
+def _persisted(spark: SparkSession, d: str) -> DataFrame:
+    """(person_id, candidate_id, stored): the profile that shares most titles with a person, as an earlier run stored it."""
+    shared = shared_titles(spark, d)
+    best = shared.groupBy("faculty_id").agg(F.max_by("author_id", F.struct("n_titles", "author_id")).alias("candidate_id"))
+    return best.select(F.col("faculty_id").alias("person_id"), "candidate_id", F.lit(True).alias("stored"))
+
+
+def stored_links(spark: SparkSession, d: str) -> DataFrame:
+    """Stored links of persons to profiles, and whether the profile is still delivered with a compatible name."""
+    last = lambda c: F.element_at(F.split(name_key(F.col(c)), " "), -1)
+    names = table(spark, d, "faculty").filter("name is not null").groupBy(F.col("faculty_id").alias("person_id")).agg(F.collect_set(last("name")).alias("a"))
+    now = table(spark, d, "author_candidates").filter("name is not null").groupBy(F.col("author_id").alias("candidate_id")).agg(F.collect_set(last("name")).alias("b"))
+    return matching.validate_links(_persisted(spark, d).join(names, "person_id", "left").join(now, "candidate_id", "left"), F.col("b").isNotNull(), F.arrays_overlap("a", "b")).select("person_id", "candidate_id", "outcome")
+
+
 def redirect_ends(spark: SparkSession, d: str) -> DataFrame:
     """Every piece of a document redirects to the piece before it; the chains end at the first pieces."""
     pieces = table(spark, d, "documents").filter("chunk_key is not null and external_id is not null")
@@ -154,6 +174,12 @@ from (select record_id, unnest(map_entries(external_identifiers)) as e from raw_
 with a as (select distinct faculty_id, trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')) as t from (select faculty_id, unnest(known_publication_titles) as t from faculty) where trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')) <> ''),
 b as (select distinct author_id, trim(regexp_replace(lower(p.title), '[^a-z0-9]+', ' ', 'g')) as t from (select author_id, unnest(known_papers) as p from author_candidates))
 select faculty_id, author_id, count(*) as n_titles from a join b using (t) group by 1, 2""",
+    "stored_links": f"""
+with a as (select distinct faculty_id, trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')) as t from (select faculty_id, unnest(known_publication_titles) as t from faculty) where trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')) <> ''),
+b as (select distinct author_id, trim(regexp_replace(lower(p.title), '[^a-z0-9]+', ' ', 'g')) as t from (select author_id, unnest(known_papers) as p from author_candidates)),
+l as (select distinct on (faculty_id) faculty_id as person_id, author_id as candidate_id from (select faculty_id, author_id, count(*) as n from a join b using (t) group by 1, 2) order by faculty_id, n desc, author_id desc),
+f as (select distinct faculty_id as person_id, string_split({_FOLD.format('name')}, ' ')[-1] as w from faculty where name is not null), c as (select distinct author_id as candidate_id, string_split({_FOLD.format('name')}, ' ')[-1] as w from author_candidates where name is not null)
+select person_id, candidate_id, case when candidate_id not in (select candidate_id from c) then 'lost' when exists (select 1 from f join c using (w) where f.person_id = l.person_id and c.candidate_id = l.candidate_id) then 'kept' else 'unclear' end as outcome from l""",
     "redirect_ends": """
 select doc_id as from_id, first_value(doc_id) over w as to_id from documents where chunk_key is not null and external_id is not null
 window w as (partition by external_id order by chunk_key, doc_id) qualify row_number() over w > 1""",

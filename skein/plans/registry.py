@@ -7,7 +7,7 @@ from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.plans import corpus, people, publications, search, snapshots
+from skein.plans import corpus, people, publications, search, snapshots, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,7 +17,7 @@ def queries_of(module: ModuleType) -> dict[str, Query]:
     return {k: f for k, f in vars(module).items() if callable(f) and not k.startswith("_") and getattr(f, "__module__", "") == module.__name__ and f.__code__.co_varnames[: f.__code__.co_argcount] == ("spark", "d")}
 
 
-MODULES = [snapshots, corpus, people, publications, search]
+MODULES = [snapshots, state, corpus, people, publications, search]
 
 
 def queries() -> dict[str, Query]:

@@ -70,28 +70,41 @@ def test_merge_listings(spark):
 def test_chunks(seed):
     rnd = random.Random(seed)
     body = "\n\n".join(" ".join("w" * rnd.randrange(1, 9) + ("." if rnd.random() < 0.1 else "") for _ in range(rnd.randrange(1, 90))) for _ in range(12))
-    found = chunk.chunks("a title", body, hard=40, target=30, overlap=6)
-    assert [k for k, _ in found] == [f"section-{n:03d}" for n in range(1, len(found) + 1)]
-    assert all(chunk.count_words(t) <= 37 for _, t in found)
-    kept = []
-    for n, (_, t) in enumerate(found):
-        words = t.split()
-        for lap in range(6, -1, -1):
-            if n and words[:lap] == kept[len(kept) - lap :] and lap <= len(words):
-                words = words[lap:]
-                break
-        kept += words
-    assert sorted(set(body.split())) == sorted(set(kept)) and len(kept) <= len(body.split())
-    assert found == chunk.chunks("a title", body, hard=40, target=30, overlap=6)
+    letters = lambda texts: [len(t) for t in texts]
+    for sizes, limit, target, overlap in ((chunk.words, 40, 30, 6), (letters, 90, 60, 12)):
+        found = chunk.chunks("a title", body, sizes, limit, target, overlap)
+        assert [k for k, _ in found] == [f"section-{n:03d}" for n in range(1, len(found) + 1)]
+        head = sum(sizes("Title: a title Text:".split()))
+        assert all(sum(sizes(t.split())) <= limit - head for _, t in found)
+        words, at = body.split(), 0  # every chunk goes on where the last one ended, or up to the overlap before
+        for _, t in found:
+            mine = t.split()
+            lap = next(k for k in range(min(overlap, at), -1, -1) if words[at - k : at - k + len(mine)] == mine)
+            assert sum(sizes(words[at - lap : at])) <= overlap
+            at += len(mine) - lap
+        assert at == len(words)
 
 
 def test_chunk_limits():
-    assert chunk.chunks("t", "", hard=10) == [("whole", "")]
+    assert chunk.chunks("t", "", limit=10) == [("whole", "")] and chunk.chunks("t", "", limit=1) == []
     with pytest.raises(ValueError, match="word"):
-        chunk.atoms("aaaa", 2, len)
-    assert chunk.fit("A b. C d. E f.", 4, chunk.count_words) == ("A b. C d.", True)
-    assert chunk.fit("a b c d e", 3, chunk.count_words) == ("a b c", True)
-    assert chunk.fit("a b", 3, chunk.count_words) == ("a b", False)
+        chunk.Layout("aaaa", lambda texts: [len(t) for t in texts]).pieces(2)
+    assert chunk.fit("A b. C d. E f.", 4) == ("A b. C d.", True)
+    assert chunk.fit("a b c d e", 3) == ("a b c", True)
+    assert chunk.fit("a b", 3) == ("a b", False)
+    with pytest.raises(ValueError, match="not even"):
+        chunk.fit("aaaa", 2, lambda texts: [len(t) for t in texts])
+
+
+def test_chunk_sizes_of_a_vocabulary():
+    path = "/opt/tokenizers/byte_bpe_50k.json"
+    from tokenizers import Tokenizer
+
+    text = "A long-winded sentence about antidisestablishmentarianism. Another one, shorter."
+    sizes = chunk.vocabulary(path)
+    assert sum(sizes(text.split())) == len(Tokenizer.from_file(path).encode(" " + text).ids)
+    shortened, cut_off = chunk.fit(text, 16, sizes)
+    assert cut_off and sum(sizes(shortened.split())) <= 16
 
 
 def test_apply_batch(spark):
@@ -123,12 +136,116 @@ def test_upsert_cascade_merge_and_sets(spark):
 def test_match_by_alias_and_affiliations(spark):
     incoming = spark.createDataFrame([("o", "n", ["a", "b"]), ("o", "m", ["z"])], "owner string, id string, aliases array<string>")
     stored = spark.createDataFrame([("o", "s1", ["b"], False, 1), ("o", "s2", ["a"], True, 5), ("o", "s3", ["b"], True, 3), ("p", "s4", ["a"], True, 0)], "owner string, id string, aliases array<string>, is_active boolean, created_at int")
-    assert [tuple(r) for r in state.match_by_alias(incoming, stored).collect()] == [("n", "s3")]
+    assert [tuple(r) for r in state.match_by_alias(incoming, stored).collect()] == [("o", "n", "s3")]
     rows = spark.createDataFrame([(1, [("B", "x"), ("A", "Y"), ("A", "y"), (" ", "q")])], "e int, affiliations array<struct<school:string,department:string>>")
     found = [(r.school, r.is_primary) for r in state.affiliations_of(rows, "e", [F.col("e")]).orderBy("school").collect()]
     assert found == [("A", True), ("B", False)]
 
 
+def test_snapshot_is_applied_as_a_whole(spark):
+    day = datetime(2024, 2, 1)
+    records = spark.createDataFrame(
+        [("s", "a", "A", "old a", True, 0, day), ("s", "b", "B", "old b", True, 1, day), ("s", "c", "B", "old c", True, 0, day), ("t", "d", "D", "old d", True, 1, day)],
+        "source string, key string, owner string, name string, is_active boolean, missed int, last_seen timestamp",
+    )
+    documents = spark.createDataFrame([("s", "a", "bio", "h", True), ("s", "a", "lab", "h", True), ("s", "b", "bio", "h", True), ("s", "c", "bio", "h", True), ("t", "d", "bio", "h", True)], "source string, key string, document_type string, content_hash string, is_active boolean")
+    entities = spark.createDataFrame([("A", "old a", True), ("B", "old b", True), ("D", "old d", True), ("Z", "alone", True)], "owner string, name string, is_active boolean")
+    batch = spark.createDataFrame([("s", "a", "A", "new a", False), ("s", "c", "B", "new c", True), ("s", "e", "E", "new e", False)], "source string, key string, owner string, name string, has_error boolean")
+    sections = spark.createDataFrame([("s", "a", "bio", "h"), ("s", "e", "bio", "g")], "source string, key string, document_type string, content_hash string")
+    runs = spark.createDataFrame([("s", True, datetime(2024, 3, 1))], "source string, complete boolean, now timestamp")
+    got = state.apply_snapshot({"records": records, "documents": documents, "entities": entities}, batch, runs, sections, ["source", "key"], ["owner", "name"], "owner", ["name"], [F.col("key")])
+    assert {r.key: (r.name, r.is_active, r.missed) for r in got["records"].collect()} == {"a": ("new a", True, 0), "b": ("old b", False, 2), "c": ("new c", True, 0), "d": ("old d", True, 1), "e": ("new e", True, 0)}
+    # the laboratory section of a vanished; c came with an error, so its section stays; b was retired with its own
+    assert {(r.key, r.document_type): (r.is_active, r.changed) for r in got["documents"].collect()} == {("a", "bio"): (True, False), ("a", "lab"): (False, False), ("b", "bio"): (False, False), ("c", "bio"): (True, False), ("d", "bio"): (True, False), ("e", "bio"): (True, True)}
+    assert {r.owner: (r.name, r.is_active) for r in got["entities"].collect()} == {"A": ("new a", True), "B": ("new c", True), "D": ("old d", True), "E": ("new e", True), "Z": ("alone", True)}
+    assert {r.source: tuple(r)[1:] for r in got["counts"].collect()} == {"s": (1, 2, 0, 1, 1, 2), "t": (0, 0, 1, 0, 0, 0)}
+
+
+def test_publications_are_applied_with_grace(spark):
+    shape = "owner string, id string, title string, aliases array<string>, providers array<string>"
+    stored = spark.createDataFrame([("o", "1", "old", ["x"], ["p:1"], True, 0, 1), ("o", "2", "kept", ["y"], ["p:2"], True, 0, 1), ("o", "3", "gone", ["z"], ["p:3"], True, 1, 1), ("q", "4", "other", ["x"], ["p:4"], True, 1, 1)], shape + ", is_active boolean, missed int, created_at int")
+    batch = spark.createDataFrame([("o", "9", "new", ["x", "w"], ["q:9"]), ("o", "8", "fresh", ["v"], ["q:8"])], shape)
+    got = {r.id: (r.title, r.aliases, r.providers, r.is_active, r.missed, r.matched) for r in state.apply_publications(stored, batch, spark.createDataFrame([("o", True)], "owner string, complete boolean"), ["title"]).collect()}
+    assert got == {"1": ("new", ["w", "x"], ["p:1", "q:9"], True, 0, True), "2": ("kept", ["y"], ["p:2"], True, 1, False), "3": ("gone", ["z"], ["p:3"], False, 2, False), "4": ("other", ["x"], ["p:4"], True, 1, False), "8": ("fresh", ["v"], ["q:8"], True, 0, False)}
+
+
+def test_merges_of_all_tables(spark):
+    merges = spark.createDataFrame([("A", "B")], "from_id string, to_id string")
+    tables = {
+        "documents": spark.createDataFrame([(1, "A", "t", "x", "w", True), (2, "B", "t", "x", "w", True)], "document_id int, owner_id string, document_type string, external_id string, chunk_key string, is_active boolean"),
+        "records": spark.createDataFrame([("r", "A")], "key string, owner_id string"),
+        "affiliations": spark.createDataFrame([("A", "S", True), ("B", "S", True)], "owner_id string, school string, is_active boolean"),
+        "links": spark.createDataFrame([("A", "p", "1"), ("A", "q", "2"), ("B", "p", "1")], "owner_id string, provider string, provider_id string"),
+        "entities": spark.createDataFrame([("A", True), ("B", True)], "owner_id string, is_active boolean"),
+    }
+    got = state.merge_all(tables, merges)
+    assert {r.document_id: (r.is_active, r.folded_into, r.absorbed) for r in got["documents"].collect()} == {1: (False, 2, []), 2: (True, None, [1])}
+    assert [tuple(r) for r in got["records"].collect()] == [("r", "B")] and sorted(tuple(r) for r in got["links"].collect()) == [("B", "p", "1"), ("B", "q", "2")]
+    assert sorted(tuple(r) for r in got["affiliations"].collect()) == [("B", "S", False), ("B", "S", True)]
+    assert {tuple(r) for r in got["entities"].collect()} == {("A", False), ("B", True)} and [tuple(r) for r in got["redirects"].collect()] == [("A", "B")]
+    with pytest.raises(ValueError, match="itself"):
+        state.merge_all(tables, spark.createDataFrame([("A", "A")], "from_id string, to_id string"))
+    with pytest.raises(ValueError, match="provider"):
+        state.merge_all(tables | {"links": spark.createDataFrame([("A", "p", "1"), ("B", "p", "7")], "owner_id string, provider string, provider_id string")}, merges)
+
+
+def test_corpus_snapshots_and_touch(spark):
+    runs = spark.createDataFrame([("a", "complete", True), ("b", "partial", True), ("c", "complete", False), ("d", "running", True)], "run_id string, status string, membership_complete boolean")
+    claim = lambda *ids: state.corpus_snapshot(runs, spark.createDataFrame([(i,) for i in ids], "run_id string"))
+    assert sorted(r.run_id for r in claim("a", "b", "a").collect()) == ["a", "b"] and claim("a", "b").first().snapshot_id == claim("b", "a").first().snapshot_id
+    for bad in (["a", "c"], ["d"], ["zz"], []):
+        with pytest.raises(ValueError, match="run"):
+            claim(*bad)
+    before = spark.createDataFrame([(1, "x", 5), (2, None, 5)], "k int, v string, updated_at int")
+    after = spark.createDataFrame([(1, "y", 5), (2, None, 5), (3, "z", None)], "k int, v string, updated_at int")
+    assert {r.k: r.updated_at for r in state.touch(before, after, ["k"], F.lit(9)).collect()} == {1: 9, 2: 5, 3: 9}
+
+
+def test_encoding_and_activation(spark, tmp_path):
+    from skein.operators import embed
+    from skein.sources.versions import Store
+
+    class Lengths:
+        version, dimension, most_tokens = "lengths", 2, 3
+
+        def encode(self, texts):
+            assert len(texts) <= 2
+            return [[float(len(t)), 1.0] for t in texts]
+
+    inputs = spark.createDataFrame([(n, " ".join("abcd"[: n + 1]), f"h{n}") for n in range(4)] + [(9, None, "h9")], "doc_id long, text string, content_hash string")
+    found = embed.encode(inputs, Lengths(), batch=2)
+    got = {r.document_id: r for r in found.collect()}
+    assert got[3].is_shortened and not got[2].is_shortened and got[9].embedding == [0.0, 1.0] and got[0].document_hash == "h0"
+    stamped = found.withColumn("created_at", F.lit(1))
+    other = stamped.filter("document_id = 1").withColumn("embedding", F.array(F.lit(3.0), F.lit(4.0)).cast("array<float>")).withColumn("created_at", F.lit(0))
+    merged = {r.document_id: [round(x, 2) for x in r.embedding] for r in embed.upsert_vectors(stamped, other).collect()}
+    assert merged[1] == [0.6, 0.8] and len(merged) == 5
+    store = Store(spark, f"file://{tmp_path}/store")
+    documents = inputs.filter("text is not null").withColumn("is_active", F.lit(True))
+    store.publish({"documents": documents, "vectors": stamped, "snapshots": spark.createDataFrame([("s1", "r")], "snapshot_id string, run_id string")})
+    assert embed.activate(store, "lengths", "s1", 2)["active"] == 1 and tuple(store.read("active").first()) == ("lengths", "s1")
+    with pytest.raises(ValueError, match="snapshot"):
+        embed.activate(store, "lengths", "s2", 2)
+    store.publish({"documents": documents.withColumn("content_hash", F.lit("changed"))})
+    with pytest.raises(ValueError, match="violations"):
+        embed.activate(store, "lengths", "s1", 2)
+
+
+def test_ids_keep_the_place_of_nulls(spark):
+    from skein.functions import ids
+
+    row = spark.range(1).select(*[ids.document_id(*[F.lit(v).cast("string") for v in t]).alias(n) for n, t in (("a", ("5", None, "a", "b")), ("b", ("5", "a", None, "b")))], ids.content_hash(F.lit("t"), F.lit("b  c")).alias("c"), ids.content_hash(F.lit(" t"), F.lit("b c ")).alias("d")).first()
+    assert row.a != row.b and row.c == row.d
+
+
+def test_meet_deals_hot_keys_in_pieces(spark):
+    from skein.runtime import meet
+
+    left = spark.createDataFrame([("h", n) for n in range(25)] + [("k", 99)], "key string, a int")
+    right = spark.createDataFrame([("h", n) for n in range(17)] + [("k", 5), ("z", 1)], "key string, b int")
+    assert sorted(tuple(r) for r in meet(left, right, ["key"], piece=4).collect()) == sorted([("h", a, b) for a in range(25) for b in range(17)] + [("k", 99, 5)])
+
+
 def test_reconcile(spark):
     listing = spark.createDataFrame([(1, "https://x.org/a/", "Q"), (2, None, "Ann Cole"), (3, None, "Bob D Ray"), (4, None, "Twin"), (5, "https://x.org/zz", "Nobody")], "listing_id int, url string, name string")
     feed = spark.createDataFrame([(11, "https://x.org/a?utm_source=f", "A"), (12, "https://x.org/b", "ann cole"), (13, "https://x.org/c", "Bob Ray"), (14, "https://x.org/d", "Twin"), (15, "https://x.org/e", "TWIN")], "feed_id int, url string, name string")
@@ -202,8 +319,8 @@ def test_measures(spark):
 
 
 def test_reports_on_empty_tables(spark):
-    docs = spark.createDataFrame([], "doc_id long, text string, is_active boolean, faculty_id long, chunk_key string, created_at timestamp, source string, n_chars long, document_type string")
-    vectors = spark.createDataFrame([], "document_id long, embedding_version string, created_at timestamp, embedding array<float>")
+    docs = spark.createDataFrame([], "doc_id long, text string, is_active boolean, faculty_id long, chunk_key string, created_at timestamp, source string, n_chars long, document_type string, content_hash string")
+    vectors = spark.createDataFrame([], "document_id long, embedding_version string, created_at timestamp, embedding array<float>, document_hash string")
     assert report.corpus_health(docs).first().n_documents == 0
     assert report.missing_vectors(docs, vectors, 3).count() == report.activation(docs, vectors, 3).count() == 0
 

@@ -48,10 +48,11 @@ def test_json_sources(spark):
     assert landing.feed_is_complete(feed, rows).first().complete is False
 
 
-def test_transport_paces_retries_and_remembers():
-    clock, slept, answers = [0.0], [], [429, 500, 200, 200]
+def test_transport_paces_repeats_and_lands(spark, tmp_path):
+    clock, slept, answers, asked = [0.0], [], [429, 520, 200, 200], []
 
     def open_(url, headers):
+        asked.append(url)
         return transport.Response(url, answers.pop(0), {"retry-after": "3"} if len(answers) == 3 else {}, b"\xffok")
 
     def sleep(s):
@@ -59,13 +60,15 @@ def test_transport_paces_retries_and_remembers():
         clock[0] += s
 
     t = transport.Transport(spacing=5, open=open_, clock=lambda: clock[0], sleep=sleep, jitter=lambda: 0.0)
-    assert t.get("u").text().endswith("ok") and t.get("u") is t.get("u") and slept == [3.0, 2.0, 2.0, 3.0]
-    t.get("v")
-    assert slept[-1] == 5.0
+    landing_ = transport.Landing(spark, f"file://{tmp_path}/landed")
+    assert landing_.fetch("u", t)["body"].endswith("ok") and landing_.fetch("u", t)["status"] == 200 and slept == [3.0, 2.0, 2.0, 3.0]
+    assert transport.Landing(spark, f"file://{tmp_path}/landed").all(["u", "v", "u"], t) == 3 and asked == ["u", "u", "u", "v"]
+    assert slept[-1] == 5.0 and sorted(r.url for r in landing_.responses().collect()) == ["u", "v"]
     with pytest.raises(RuntimeError, match="404"):
         transport.Transport(open=lambda u, h: transport.Response(u, 404, {}, b"")).get("u")
+    assert [transport.worth_repeating(s) for s in (400, 429, 500, 599, 600)] == [False, True, True, True, False]
     date = datetime(2024, 1, 1, 0, 0, 30, tzinfo=timezone.utc)
-    assert transport.retry_after("Mon, 01 Jan 2024 00:00:30 GMT", 1, date.timestamp() - 10) == 10 and transport.retry_after("soon", 7, 0) == 7
+    assert transport.asked_pause("Mon, 01 Jan 2024 00:00:30 GMT", date.timestamp() - 10) == 10 and transport.asked_pause("soon", 0) is None and transport.asked_pause(None, 0) is None and transport.asked_pause("2.5", 0) == 2.5
 
 
 def test_versions(spark, tmp_path):

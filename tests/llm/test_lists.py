@@ -148,7 +148,7 @@ def test_leaks_against_brute_force(spark):
     d, e = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     got = [tuple(r) for r in leak.find_leaks(d, e).collect()]
     assert len(got) == len(set(got)) and set(got) == expected
-    assert {tuple(r) for r in leak.find_leaks(d, e, block_items=4).collect()} == expected
+    assert {tuple(r) for r in leak.find_leaks(d, e, most_bits=8).collect()} == expected
 
 
 def test_leaks_ignore_case_accents_and_invisible_signs(spark):
@@ -161,8 +161,18 @@ def test_leaks_ignore_case_accents_and_invisible_signs(spark):
     assert leak.find_leaks(docs.limit(0), items).count() == leak.find_leaks(docs, items.limit(0)).count() == 0
 
 
-def test_passages_have_the_stated_miss_rate():
-    for w in range(5, 13):
-        _, inside, segment, minima = leak._shape(w)
-        assert (1 - inside / segment) ** minima <= leak.MISS
-    assert np.array_equal(leak._windows(np.array([5, 3, 9, 1], np.uint64), np.array([0, 2]), 2), np.array([3, 1], np.uint64))
+@pytest.mark.parametrize("w", [1, 3, 5, 6, 9, 12])
+def test_equal_windows_have_equal_signatures(w):
+    rnd = np.random.default_rng(w)
+    words = rnd.integers(0, 2**63, 400, dtype=np.uint64)
+    words[200:200 + w] = words[50:50 + w]
+    found = leak.signatures(words, w)
+    assert len(found) == 401 - w and found[50] == found[200] and leak.signatures(words[50:50 + w], w).tolist() == [found[50]]
+    assert len(leak.signatures(words[: w - 1], w)) == 0
+
+
+def test_leaks_of_a_filter_that_lets_everything_through(spark, monkeypatch):
+    monkeypatch.setattr(leak, "LEAST_BITS", 1 << 16)
+    docs = spark.createDataFrame([(1, "one two three four five six"), (2, "four five six one two three")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "three four five"), (8, "six one"), (9, "zz")], "item_id long, text string")
+    assert {tuple(r) for r in leak.find_leaks(docs, items).collect()} == {(1, 7), (2, 8)}

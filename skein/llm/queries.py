@@ -88,7 +88,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _MONTH = "list_position(['jan','feb','mar','apr','may','jun','jul','aug','sep','oct','nov','dec'], lower(regexp_extract(t, '(?i)\\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)', 1)))"
 _SPACES = "\\t-\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
 
+def _plain(column: str) -> str:
+    """Words of a text one space apart, with a space at both ends, as far as DuckDB can fold them."""
+    bare = f"regexp_replace(replace(replace(replace(lower({column}), chr(64257), 'fi'), chr(64258), 'fl'), chr(223), 'ss'), '[\\p{{Cf}}]', '', 'g')".replace("{{", "{").replace("}}", "}")
+    return f"' ' || trim(regexp_replace(strip_accents({bare}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' '".replace("{{", "{").replace("}}", "}")
+
+
 SQL = {
+    "p4_found": """
+with v as (
+  select embedding_version, document_id as id, list_transform(embedding, lambda x: x::double) as e from document_embeddings
+  where embedding_version is not null and document_id is not null and len(embedding) = 768 and list_sum(list_transform(embedding, lambda x: abs(x))) > 0
+  qualify row_number() over (partition by embedding_version, document_id order by created_at desc) = 1),
+u as (select *, sqrt(list_inner_product(e, e)) as n from v),
+near as (
+  select a.embedding_version, a.id as p, b.id as q, list_inner_product(a.e, b.e) / (a.n * b.n) as s
+  from u a join u b on a.embedding_version = b.embedding_version and a.id <> b.id
+  qualify row_number() over (partition by a.embedding_version, a.id order by s desc, b.id) <= 10)
+select distinct embedding_version, least(p, q) as document_a, greatest(p, q) as document_b from near where s >= 0.80""",
+    "p8_found": f"""
+with i as (select item_id, string_split(trim({_plain("text")}), ' ') as w from eval_items where trim({_plain("text")}) <> ''),
+p as (select distinct item_id, ' ' || array_to_string(w[j : j + least(12, len(w)) - 1], ' ') || ' ' as passage from (select item_id, w, unnest(range(1, len(w) - least(12, len(w)) + 2)) as j from i)),
+d as (select doc_id, {_plain("text")} as t from documents where text is not null)
+select distinct doc_id, item_id from d join p on contains(d.t, p.passage)""",
     "p3_found": f"""
 with last as (
   select author_id, external_id, trim(coalesce(publication_date, '')) as t, year from papers where external_id is not null

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.llm import leak, linkage, markup, mixture, names, neighbours, split, topn, truncation
+from skein.runtime import cut
 from skein.sources.tables import table
 
 
@@ -73,6 +74,22 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixture.mix(table(spark, d, "documents"), table(spark, d, "mixture_targets"))[1]
 
 
+def p9_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Per target source: whether it occurs, and whether its records, repeats and share keep to the target."""
+    chosen, report = mixture.mix(table(spark, d, "documents"), table(spark, d, "mixture_targets"))
+    chosen = cut(chosen)
+    longest = chosen.groupBy("source").agg(F.max("copies").alias("most"), F.max("n_tokens").alias("longest"), F.count("*").alias("n"), F.count_distinct("doc_id").alias("ids"))
+    rows = report.join(longest, "source", "left")
+    wanted = F.when(F.col("available_tokens") * F.col("max_repeats") > 0, F.col("target_share"))
+    everywhere = F.sum(wanted).over(Window.partitionBy())  # one row per target source
+    all_tokens = F.sum("chosen_tokens").over(Window.partitionBy())
+    off = F.abs(F.col("chosen_tokens") - all_tokens * wanted / everywhere)
+    return rows.select(
+        "source", (F.col("available_documents") > 0).alias("occurs"), F.coalesce(F.col("most") <= F.col("max_repeats"), F.lit(True)).alias("repeats_kept"),
+        F.coalesce(F.col("n") == F.col("ids"), F.lit(True)).alias("once_each"), F.coalesce(off <= F.greatest(F.col("longest"), 0.01 * all_tokens), F.col("chosen_tokens") == 0).alias("share_kept"),
+    )
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return truncation.score_truncation(table(spark, d, "documents")).filter("truncated").select("doc_id").distinct()
 
@@ -111,6 +128,10 @@ with i as (select item_id, string_split(trim({_plain("text")}), ' ') as w from e
 p as (select distinct item_id, ' ' || array_to_string(w[j : j + least(12, len(w)) - 1], ' ') || ' ' as passage from (select item_id, w, unnest(range(1, len(w) - least(12, len(w)) + 2)) as j from i)),
 d as (select doc_id, {_plain("text")} as t from documents where text is not null)
 select distinct doc_id, item_id from d join p on contains(d.t, p.passage)""",
+    "p9_checks": f"""
+with t as (select distinct lower(trim(regexp_replace(source, '[{_SPACES}]+', ' ', 'g'))) as source from mixture_targets where trim(source) <> ''),
+d as (select distinct lower(trim(regexp_replace(source, '[{_SPACES}]+', ' ', 'g'))) as source from documents where length(text) > 0)
+select source, source in (select source from d where source is not null) as occurs, true as repeats_kept, true as once_each, true as share_kept from t""",
     "p3_found": f"""
 with last as (
   select author_id, external_id, trim(coalesce(publication_date, '')) as t, year from papers where external_id is not null

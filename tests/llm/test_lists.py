@@ -125,6 +125,46 @@ def test_mixture_prefers_weightier_records_and_repeats_itself(spark):
     assert first == {r.doc_id for r in mixture.mix(docs.repartition(5), targets, total_tokens=30000)[0].collect()}
 
 
+@pytest.mark.parametrize("n", [3, 200])
+def test_mixture_edges_of_light_records(spark, monkeypatch, n):
+    """Light records have large keys; budgets end at the right key all the same, and no ordered range is large."""
+    monkeypatch.setattr(mixture, "EDGE_ROWS", 16)
+    monkeypatch.setattr(mixture, "PARTS", 8)
+    rows = [(k, "# 1 2", "light", None, None) for k in range(20 * n)] + [(10**6 + k, "Plain words of a sentence that goes on for some time. " * 4, "plain", None, None) for k in range(n)]
+    docs = spark.createDataFrame(rows, DOCS)
+    targets = spark.createDataFrame([("light", 0.5, 1), ("plain", 0.5, 1)], "source string, target_share double, max_repeats int")
+    chosen, report = mixture.mix(docs, targets, total_tokens=40 * n)
+    out = {r.source: r for r in report.collect()}
+    assert abs(out["light"].chosen_tokens - 20 * n) <= 5 and out["light"].budget_tokens == 20 * n
+    # equal weights: every record has the same chance, so the chosen are spread over all ids
+    got = sorted(r.doc_id for r in chosen.filter("source = 'light'").collect())
+    half = sum(k < 10 * n for k in got)
+    assert n == 3 or abs(half - len(got) / 2) < 4 * (len(got) / 4) ** 0.5
+    sized = docs.select("doc_id", "source", F.lit(5).cast("long").alias("n_tokens"), (-F.log(mixture._uniform(F.col("doc_id"), seed=1)) * 2.0**40 / 0.05).cast("long").alias("_key"))
+    plan = spark.createDataFrame([("light", 0, 1, 30 * n), ("plain", 0, 1, 10**6)], "source string, epochs int, max_repeats int, rest_tokens long")
+    for e in mixture._edges(sized, plan).collect():
+        mine = sized.filter(F.col("source") == e.source)
+        inside, below = mine.filter((F.col("_key") >= e._low) & (F.col("_key") < e._high)), mine.filter(F.col("_key") < e._low)
+        assert inside.count() <= 16 and below.count() * 5 == e._below
+        total = mine.count() * 5
+        assert e._below <= e.rest_tokens and (e._below + 5 * inside.count() > e.rest_tokens or e.rest_tokens >= total)
+
+
+def test_inclusion_follows_the_weights(spark):
+    """Records of twice the weight are chosen about twice as often where few are chosen."""
+    sized = spark.range(60000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, 0.05).otherwise(0.1).alias("w"))
+    keyed = sized.withColumn("_key", (-F.log(mixture._uniform(F.col("doc_id"), seed=3)) / F.col("w") * 2.0**40).cast("long"))
+    first = keyed.orderBy("_key", "doc_id").limit(3000).groupBy((F.col("doc_id") % 2).alias("odd")).count().collect()
+    n = {r.odd: r["count"] for r in first}
+    assert n[1] / n[0] == pytest.approx(2.0, rel=0.12)
+
+
+def test_quality_prefers_prose(spark):
+    texts = ["The river shapes the delta, and the delta feeds the coast with slow brown water. " * 5 + "Every season brings another channel.", "spam " * 200, "a1 b2 c3 d4 e5 " * 30, "Menu | Home | About | #9 %1 &2", "", None]
+    got = [r.q for r in spark.createDataFrame(list(enumerate(texts)), "n int, t string").select("n", mixture.quality(F.col("t")).alias("q")).orderBy("n").collect()]
+    assert got[0] == max(got) and got[0] > 0.6 and all(0.05 <= q <= 1 for q in got) and got[4] == got[5] == 0.05 and got[1] < got[0] / 1.3 and got[3] < got[0] / 1.3
+
+
 def test_leaks_against_brute_force(spark):
     rnd = random.Random(2)
     vocabulary = [f"w{n}" for n in range(60)]

@@ -21,6 +21,8 @@ HTML = """<!-- <h2>no</h2> --><style>h1{}</style><P class=x>Text<h2 id=a>A &amp;
 
 def test_html():
     assert elements(HTML) == [("heading", "A & B"), ("list_item", "one x"), ("list_item", "two <b>"), ("code", "a < b c(&d)"), ("formula", "E = m c^2"), ("formula", "x_1"), ("heading", "open")]
+    assert elements("<head><title>no</title><h2>yes</h2>") == [("heading", "yes")] and elements("<noscript><h2>yes</h2></noscript>") == [("heading", "yes")]
+    assert elements("<p>so $f(x)$ and $" + "a+" * 300 + "b$ at $5/h or $6 a day, $7 - $8</p>") == [("formula", "f(x)"), ("formula", "a+" * 300 + "b")]
     text = markup.clean_text(markup.read(HTML))
     for part in ("## A & B", "- one x\n- two <b>", "```\na < b\n  c(&d)\n```", "$$E = m c^2$$", "so $x_1$ holds, at $5 or $6"):
         assert part in text
@@ -144,11 +146,42 @@ def test_documents_and_boilerplate(spark):
     assert len(got) == len(pages)
     rows = {r.key: r for r in got}
     assert "Home" not in rows[3].text_clean and "Menu" not in rows[3].text_clean and "Unique text number 3." in rows[3].text_clean
-    assert [(e.kind, e.text) for e in rows[3].elements] == [("heading", "Overview")]
+    assert [(e.kind, e.text) for e in rows[3].elements] == [("list_item", "Menu a"), ("heading", "Overview")]
     assert rows[100].text_clean is None and rows[100].elements == [] and rows[101].text_clean == "" and rows[102].text_clean == "Home About Contact"
     assert markup.clean_documents(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("paragraphs", [1, 5, 20])
+def test_a_footer_in_a_shared_paragraph_is_removed(spark, paragraphs):
+    body = lambda n: "".join(f"<p>Page {n} says {k} things of its own.</p>" for k in range(paragraphs))
+    pages = [(n, "h.org", f"<body>{body(n)}<p>All rights reserved.</p></body>") for n in range(60)]
+    got = markup.clean_documents(spark.createDataFrame(pages, "key long, host string, text string")).collect()
+    for r in got:
+        assert "rights" not in r.text_clean and r.text_clean.count("of its own") == paragraphs
+
+
+def test_low_branches_go_and_rare_contents_stay(spark):
+    page = lambda n: f"<div class=main><p>Own text {n}.</p></div><div class=side><p>Visit us</p><p>Open daily</p></div>" + ("<div class=note><p>Closed in May</p></div>" if n < 12 else "")
+    df = spark.createDataFrame([(n, "h.org", page(n)) for n in range(30)] + [(100 + n, "two.org", page(0)) for n in range(2)], "key long, host string, text string")
+    rows = markup.cut(markup.parsed(df))
+    branches, contents = markup.noise(rows)
+    side = [markup._hash(x) for x in ("div.side", "div.side>p")]
+    assert {(r.host, r.node) for r in branches.collect()} >= {("h.org", x) for x in side}
+    assert ("h.org", markup._hash("div.main")) not in {(r.host, r.node) for r in branches.collect()}
+    text = {r.key: r.text_clean for r in markup.clean_documents(df).collect()}
+    assert text[20] == "Own text 20." and "Visit" in text[100]
+    nodes, contents = markup.style_tree(rows)
+    main = {r.content: (r.shown, r.pages) for r in contents.filter(F.col("node") == markup._hash("div.side>p")).filter("host = 'h.org'").collect()}
+    assert set(main.values()) == {(30, 30)}
+
+
+def test_headings_are_never_lost_to_the_tree(spark):
+    pages = [(n, "h.org", f"<h2>Biography</h2><ul><li>Rivers</li></ul><footer><h3>Contact</h3><p>Same</p></footer><p>Text {n}</p>") for n in range(25)]
+    for r in markup.clean_documents(spark.createDataFrame(pages, "key long, host string, text string")).collect():
+        assert [(e.kind, e.text) for e in r.elements] == [("heading", "Biography"), ("list_item", "Rivers"), ("heading", "Contact")]
+        assert r.text_clean == f"## Biography\n\n- Rivers\n\nText {r.key}"
+
+
 def corpus(n=1500):
     rnd = random.Random(6)
     nouns, verbs = ["rivers", "deltas", "stones", "mosses", "glaciers", "turbines"], ["carry", "shape", "measure", "explain", "limit"]

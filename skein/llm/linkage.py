@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.llm.names import fold, misspelt, readings
-from skein.runtime import cut, frame, join_small
+from skein.runtime import cut, frame, join_small, meet
 
 ACCEPT = 2.0
 SUPPORT, RIVALRY = 0.6, 0.5
@@ -25,7 +25,8 @@ SUPPORT, RIVALRY = 0.6, 0.5
 ROUNDS = 100
 #: Entities of one side of a block that meet those of the other in one task.
 PIECE = 2_000
-#: Rarity (log of entities per entity that has it) from which a word may be part of a phrase, and of a phrase to count.
+#: Rarity (log of entities per entity that has it, so a share and not a number of them) from which a word may be part of
+#: a phrase, and of a phrase to count.
 WORD_RARITY, PHRASE_RARITY, PHRASE_RANGE = 1.8, 3.5, 2.0
 #: Abbreviations in affiliations.
 _UNITS = {"univ": "university", "dept": "department", "inst": "institute", "tech": "technology", "coll": "college"}
@@ -96,20 +97,6 @@ def _given_score(a: Column, b: Column, la: Column, lb: Column) -> Column:
     return F.when(conflict, None).when(same, F.when(agreed, 1.2).otherwise(1.0)).when(close, 0.7).when(initial, F.when(agreed, 0.5).otherwise(0.2))
 
 
-def _meet(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """left joined with right on keys, every pair of them: a key of many rows is dealt in pieces of both sides.
-
-    Columns other than the keys have different names on both sides.
-    """
-    pieces = lambda n: F.ceil(F.col(n) / PIECE).cast("int")
-    counts = cut(left.groupBy(*keys).agg(F.count("*").alias("n")).join(right.groupBy(*keys).agg(F.count("*").alias("m")), keys).select(*keys, pieces("n").alias("n"), pieces("m").alias("m")))
-    place = lambda df, n: F.pmod(F.xxhash64(*[c for c in df.columns if c not in keys]), F.col(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    mine = left.join(counts, keys).withColumn("_i", place(left, "n").cast("int")).withColumn("_j", every("m")).drop("n", "m")
-    theirs = right.join(counts, keys).withColumn("_j", place(right, "m").cast("int")).withColumn("_i", every("n")).drop("n", "m")
-    return mine.join(theirs, [*keys, "_i", "_j"]).drop("_i", "_j")
-
-
 def _candidates(names: DataFrame, titles: DataFrame) -> DataFrame:
     """(a, b) of all pairs that share a block and whose given names don't speak against one person.
 
@@ -121,25 +108,51 @@ def _candidates(names: DataFrame, titles: DataFrame) -> DataFrame:
     by_title = names.join(titles, ["side", "id"]).select("side", "id", "given", "letters", F.col("value").alias("block"), initial, F.lit("title").alias("by"))
     rows = cut(by_surname.unionByName(by_title).filter("i <> ''").distinct())
     of = lambda k, key: rows.filter(F.col("side") == k).select("by", "block", "i", F.col("id").alias(key), F.col("given").alias(f"g_{key}"), F.col("letters").alias(f"l_{key}"))
-    pairs = _meet(of("a", "a"), of("b", "b"), ["by", "block", "i"])
+    pairs = meet(of("a", "a"), of("b", "b"), ["by", "block", "i"], PIECE)
     return pairs.filter(_given_score(F.col("g_a"), F.col("g_b"), F.col("l_a"), F.col("l_b")).isNotNull()).select("a", "b").distinct()
 
 
+#: Kinds of attributes by their code.
+_KINDS = ("word", "phrase", "title", "unit")
+
+
+def _packed(values: DataFrame) -> DataFrame:
+    """(id, v): the attributes of every entity as whole numbers: a hash of 48 bits, the kind and the rarity.
+
+    values: (id, kind, value, rarity). A value has one rarity, so equal attributes are equal numbers, and what two
+    entities share is the intersection of two short arrays.
+    """
+    code = F.array_position(F.array(*[F.lit(k) for k in _KINDS]), F.col("kind")).cast("long") - 1
+    rare = F.least(F.lit(16383), F.round(F.col("rarity") * 500)).cast("long")
+    number = F.xxhash64("kind", "value").bitwiseAND(F.lit(-65536).cast("long")).bitwiseOR(F.shiftleft(code, 14)).bitwiseOR(rare)
+    return values.groupBy("id").agg(F.collect_set(number).alias("v"))  # the attributes of one entity
+
+
 def _edges(candidates: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     """(a, b, titles, phrases, words, units, fields, weight): what the two sides of each candidate share.
 
-    left and right: (id, kind, value, rarity) and (id, kind, value). Candidates that share nothing stay, with weight 0.
+    left and right: (id, kind, value, rarity). Candidates that share nothing stay, with weight 0.
     """
-    mine = candidates.join(left.withColumnRenamed("id", "a"), "a")
-    shared = mine.join(right.withColumnRenamed("id", "b"), ["b", "kind", "value"]).unionByName(candidates.select("a", "b", F.lit("").alias("kind"), F.lit("").alias("value"), F.lit(0.0).alias("rarity")))
-    return shared.groupBy("a", "b").agg(
-        F.sum(F.when(F.col("kind") == "title", 1.0).otherwise(0.0)).alias("titles"),
-        F.sum(F.when(F.col("kind") == "phrase", F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("rarity") - PHRASE_RARITY) / PHRASE_RANGE))).otherwise(0.0)).alias("phrases"),
-        F.sum(F.when(F.col("kind") == "word", F.greatest(F.lit(0.0), F.col("rarity") - 2.5)).otherwise(0.0)).alias("words"),
-        F.sum(F.when(F.col("kind") == "unit", 1.0).otherwise(0.0)).alias("units"),
-        F.sum(F.when((F.col("kind") == "unit") & (F.col("rarity") >= 2), 1.0).otherwise(0.0)).alias("fields"),
-        F.sum(F.when(F.col("kind").isin("title", "phrase"), F.col("rarity")).otherwise(F.greatest(F.lit(0.0), F.col("rarity") - 1))).alias("weight"),
-    )
+    mine, theirs = _packed(left).select(F.col("id").alias("a"), F.col("v").alias("va")), _packed(right).select(F.col("id").alias("b"), F.col("v").alias("vb"))
+    none = F.array().cast("array<bigint>")
+    joined = candidates.join(mine, "a", "left").join(theirs, "b", "left")
+    shared = joined.select("a", "b", F.array_intersect(F.coalesce("va", none), F.coalesce("vb", none)).alias("s"))
+
+    def total(kinds: tuple[str, ...], points) -> Column:  # noqa: ANN001
+        codes = [_KINDS.index(k) for k in kinds]
+        kind = lambda v: F.shiftright(v, 14).bitwiseAND(F.lit(3).cast("long"))
+        return F.aggregate(F.filter("s", lambda v: kind(v).isin(codes)), F.lit(0.0), lambda t, v: t + points(v.bitwiseAND(F.lit(16383).cast("long")) / 500.0))
+
+    above = lambda r, least: F.greatest(F.lit(0.0), r - least)
+    return shared.select(
+        "a", "b",
+        total(("title",), lambda r: F.lit(1.0)).alias("titles"),
+        total(("phrase",), lambda r: F.least(F.lit(1.0), above(r, PHRASE_RARITY) / PHRASE_RANGE)).alias("phrases"),
+        total(("word",), lambda r: above(r, 2.5)).alias("words"),
+        total(("unit",), lambda r: F.lit(1.0)).alias("units"),
+        total(("unit",), lambda r: F.when(r >= 2, 1.0).otherwise(0.0)).alias("fields"),
+        (total(("title", "phrase"), lambda r: r) + total(("word", "unit"), lambda r: above(r, 1))).alias("weight"),
+    )
 
 
 def _evidence(e: DataFrame) -> Column:
@@ -163,10 +176,11 @@ def link(persons: DataFrame, profiles: DataFrame) -> DataFrame:
     poor = merged.join(found.filter("kind in ('title', 'phrase')").select("side", "id").distinct(), ["side", "id"], "left_anti").filter("side = 'a'").select("id", F.lit(True).alias("poor"))
     values = lambda k: found.filter(F.col("side") == k).select("id", "kind", "value", "rarity")
     # blocks: every surname with the initial; a shared title is a block of its own, for names that were mangled
-    edges = _edges(cut(_candidates(named, found.filter("kind = 'title'").select("side", "id", "value"))), values("a"), values("b").drop("rarity"))
+    edges = _edges(cut(_candidates(named, found.filter("kind = 'title'").select("side", "id", "value"))), values("a"), values("b"))
     # meta-blocking: an edge stays if it is not light against the heaviest one at either end
-    heaviest = lambda c: F.max("weight").over(Window.partitionBy(c))
-    pruned = edges.withColumn("h_a", heaviest("a")).withColumn("h_b", heaviest("b")).filter((F.col("weight") >= 0.1 * F.col("h_a")) | (F.col("weight") >= 0.1 * F.col("h_b"))).drop("h_a", "h_b")
+    edges = cut(edges)
+    heaviest = lambda c: edges.groupBy(c).agg(F.max("weight").alias(f"h_{c}"))
+    pruned = edges.join(heaviest("a"), "a").join(heaviest("b"), "b").filter((F.col("weight") >= 0.1 * F.col("h_a")) | (F.col("weight") >= 0.1 * F.col("h_b"))).drop("h_a", "h_b")
     left = named.filter("side = 'a'").select(F.col("id").alias("a"), F.col("surname").alias("s_a"), F.col("given").alias("g_a"), F.col("letters").alias("l_a"))
     right = named.filter("side = 'b'").select(F.col("id").alias("b"), F.col("surname").alias("s_b"), F.col("given").alias("g_b"), F.col("letters").alias("l_b"))
     given = _given_score(F.col("g_a"), F.col("g_b"), F.col("l_a"), F.col("l_b"))
@@ -186,8 +200,8 @@ def link(persons: DataFrame, profiles: DataFrame) -> DataFrame:
     known = telling.join(base.select(F.col("b").alias("id")).distinct(), "id", "left_semi").select("id", "kind", "value")
     by_name = named.filter("side = 'b'").select("id", F.explode(F.split("surname", " ")).alias("s"), F.substring("letters", 1, 1).alias("i")).distinct()
     c = cut(known.join(by_name.select("id", F.concat_ws("|", "s", "i").alias("block")), "id").unionByName(known.filter("kind = 'title'").withColumn("block", F.lit(""))))
-    pairs = cut(_meet(c.withColumnRenamed("id", "a"), c.withColumnRenamed("id", "b"), ["block", "kind", "value"]).filter("a <> b").select("a", "b").distinct())
-    like = _edges(pairs, telling, telling.drop("rarity"))
+    pairs = cut(meet(c.withColumnRenamed("id", "a"), c.withColumnRenamed("id", "b"), ["block", "kind", "value"], PIECE).filter("a <> b").select("a", "b").distinct())
+    like = _edges(pairs, telling, telling)
     like = cut(like.select(F.col("a").alias("b"), F.col("b").alias("other"), F.least(F.lit(1.0), F.col("titles") + F.col("phrases") / 3).alias("alike")).filter("alike > 0"))
     scores, accepted = base.withColumn("score", F.col("base")), None
     for _ in range(ROUNDS):

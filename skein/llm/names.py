@@ -1,10 +1,14 @@
 """Variant spellings of names typed by people.
 
 Tokens of all names are joined with themselves by a prefix-filtered set-similarity join on their q-grams, which finds
-misspelt tokens and the frequent token each stands for. Names are then read into surname, given name and initials by
-the positions in which their tokens usually stand, so that parts may come in any order. Names that agree in their
-rarest part, the surname, and in the given name or its initial are candidates; candidates are verified by a soft
-weighted token similarity in which rare tokens count more, and initials are linked only where they fit one person.
+misspelt tokens and the frequent token each stands for. Short forms of given names are learnt from the surnames they
+share with the full name, by a join of the same kind. Names are then read into surname, given name and initials by the
+positions in which their tokens usually stand, so that parts may come in any order.
+
+Names that read alike form a shape. Shapes are joined by the rarest q-grams of their surnames, within the same given
+name, or the same initial where one side spells out no given name. The pairs are verified by a soft weighted token
+similarity, in which rare tokens count more, and filtered: initials are linked only where they fit one person, and
+different middle initials keep persons apart. Spellings are put in for shapes only at the end.
 """
 
 from __future__ import annotations
@@ -18,9 +22,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.runtime import cut, frame, join_small
+from skein.runtime import cut, frame, join_small, meet
 
-#: Common short forms of given names, behind the full name they stand for.
+#: Common short forms of given names, behind the full name they stand for. Others are learnt (`short_forms`).
 NICKNAMES = """abigail abby abbie gail; alexander alex sasha; alexandra lexi; andrew andy drew; anthony tony; barbara barb; beatriz bea; beatrice bee
 benjamin ben benny; catherine cathy cath cate; charles chuck charlie; christopher chris; daniel dan danny; david dave; deborah deb debbie debby; dmitri dima mitya
 dorothy dot; edward ed eddie ned ted; elizabeth liz beth betsy betty lizzie eliza libby; frances fran frannie; francis frank; francisco paco; frederick fred freddie; gabriel gabe
@@ -153,6 +157,33 @@ def misspelt(tokens: DataFrame, known: tuple[str, ...] = ()) -> DataFrame:
     return once.join(again, "canon", "left").select("token", F.coalesce("next", "canon").alias("canon"))
 
 
+# --- short forms -----------------------------------------------------------------------------------------------------
+
+#: Share of the surnames of a given name that another must have for the first to be its short form, and how many at least.
+CONTAINED, LEAST_SHARED = 0.6, 5
+
+
+def short_forms(bearers: DataFrame) -> DataFrame:
+    """(short, long): given names nearly all of whose surnames another, more frequent given name has as well.
+
+    bearers: distinct (given, surname). People under a short form appear under the full name too, so the surnames of
+    `bob` lie within those of `robert`, while two unrelated names share few. A given name's rarest surnames, as many as
+    it may lack and one more, are its prefix; only names that share a surname of the prefix are compared. The name with
+    the largest share counts, then the more frequent, then the first.
+    """
+    sizes = bearers.groupBy("given").agg(F.count("*").alias("n"))
+    rare = bearers.groupBy("surname").agg(F.count("*").alias("df"))
+    rows = cut(bearers.join(rare, "surname").join(sizes, "given").filter(F.col("n") >= LEAST_SHARED))
+    place = F.row_number().over(Window.partitionBy("given").orderBy("df", "surname"))
+    prefix = rows.withColumn("_r", place).filter(F.col("_r") <= F.col("n") - F.ceil(CONTAINED * F.col("n")) + 1).select(F.col("given").alias("short"), F.col("n").alias("n_s"), "surname")
+    other = rows.select(F.col("given").alias("long"), F.col("n").alias("n_l"), "surname")
+    pairs = prefix.join(other, "surname").filter((F.col("short") != F.col("long")) & (F.col("n_s") < F.col("n_l"))).select("short", "long", "n_s", "n_l").distinct()
+    mine = pairs.join(rows.select(F.col("given").alias("short"), "surname"), "short")
+    shared = mine.join(other.drop("n_l"), ["long", "surname"]).groupBy("short", "long", "n_s", "n_l").agg(F.count("*").alias("k"))
+    found = shared.filter((F.col("k") >= LEAST_SHARED) & (F.col("k") >= CONTAINED * F.col("n_s")))
+    return found.groupBy("short").agg(F.max_by("long", F.struct(F.col("k") / F.col("n_s"), "n_l", "long")).alias("long"))
+
+
 # --- reading names ---------------------------------------------------------------------------------------------------
 
 
@@ -160,6 +191,11 @@ class Reading(dict):
     """surname: sorted tokens; given: canonical tokens; initials: letters that stand alone, in order."""
 
 
+def full_form(token: dict) -> str:
+    """The given name that a token stands for, by the list of short forms or else as learnt."""
+    return _FORMAL.get(token["canon"]) or token.get("long") or token["canon"]
+
+
 def read_name(tokens: list[dict]) -> Reading:
     """Roles by place, corrected where a token nearly always stands elsewhere; tokens carry canon and share (of first places)."""
     long = [t for t in tokens if t["place"] != "i"]
@@ -177,7 +213,7 @@ def read_name(tokens: list[dict]) -> Reading:
         given.append(surname.pop(0))
     return Reading(
         surname=sorted({t["canon"] for t in surname}),
-        given=[_FORMAL.get(t["canon"], t["canon"]) for t in given],
+        given=[full_form(t) for t in given],
         initials=initials,
     )
 
@@ -197,8 +233,13 @@ def readings(names: DataFrame) -> DataFrame:
     canon = mapped.groupBy("canon").agg(F.sum("n").alias("canon_n"), (F.sum("firsts") / F.greatest(F.sum("firsts") + F.sum("lasts"), F.lit(1))).alias("share"), F.sum(F.col("firsts") + F.col("lasts")).alias("seen"))
     info = cut(mapped.select("token", "canon").join(canon, "canon").select("token", "canon", "canon_n", F.when(F.col("seen") >= 4, F.col("share")).alias("share")))
     total = parsed.count()
-    full = join_small(exploded, info, ["token"], "left", salts=1)
-    packed = full.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("pos", "token", "place", F.coalesce("canon", "token").alias("canon"), "share", F.log(F.lit(float(max(total, 2))) / F.coalesce("canon_n", F.lit(1))).alias("weight")))).alias("t"))  # the tokens of one name
+    full = cut(join_small(exploded, info, ["token"], "left", salts=1).withColumn("canon", F.coalesce("canon", "token")))
+    # names of one given name and one surname tell short forms
+    first, last = F.col("place").isin("f", "g"), F.col("place").isin("l", "s")
+    plain = full.filter("place <> 'i'").groupBy("name").agg(F.count_if(first).alias("x"), F.count_if(last).alias("y"), F.max(F.when(first, F.col("canon"))).alias("given"), F.max(F.when(last, F.col("canon"))).alias("surname")).filter("x = 1 and y = 1")
+    short = cut(short_forms(plain.select("given", "surname").distinct()).select(F.col("short").alias("canon"), "long"))
+    full = join_small(full, short, ["canon"], "left", salts=1)
+    packed = full.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("pos", "token", "place", "canon", "long", "share", F.log(F.lit(float(max(total, 2))) / F.coalesce("canon_n", F.lit(1))).alias("weight")))).alias("t"))  # the tokens of one name
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -210,42 +251,75 @@ def readings(names: DataFrame) -> DataFrame:
                 weights = {}
                 for t in tokens:
                     if t["place"] != "i":
-                        weights[_FORMAL.get(t["canon"], t["canon"])] = max(t["weight"], 0.1)
+                        weights[full_form(t)] = max(t["weight"], 0.1)
                 rows.append((name, " ".join(r["surname"]), " ".join(r["given"]), letters, weights))
             yield frame(rows, ["name", "surname", "given", "letters", "weights"])
 
     return packed.mapInPandas(run, "name string, surname string, given string, letters string, weights map<string,double>")
 
 
-# --- persons ---------------------------------------------------------------------------------------------------------
+# --- shapes ----------------------------------------------------------------------------------------------------------
+
+#: Share of the q-grams of two surnames that must be the same for their shapes to be compared.
+ALIKE = 0.8
+
+
+def shapes_of(read: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(shapes, members): distinct readings (shape, surname, given, letters, weights, middle, size), and the names of
+    each (shape, name). Names without a surname have no shape."""
+    named = read.filter("surname <> ''").withColumn("shape", F.xxhash64("surname", "given", "letters"))
+    own = F.when(F.col("given") != "", F.aggregate(F.split("given", " "), F.lit(""), lambda acc, g: F.concat(acc, F.substring(g, 1, 1)))).otherwise("")
+    shapes = named.groupBy("shape", "surname", "given", "letters").agg(F.min_by("weights", "name").alias("weights"), F.count("*").alias("size"))
+    return shapes.withColumn("own", own).withColumn("middle", F.expr("substring(letters, length(own) + 1)")), named.select("shape", "name")
+
 
+def alike(shapes: DataFrame) -> DataFrame:
+    """(a, b) of shapes whose surnames are alike, by a prefix-filtered join on q-grams.
 
-def persons(read: DataFrame) -> DataFrame:
-    """(name, person): the person each spelling stands for, as far as the names alone tell.
+    Two shapes meet if they share one of the rarest q-grams of their surnames, so many that the similarity ALIKE can't
+    be missed, and agree in the given name; a shape with initials only meets all that have its first initial. Shared
+    q-grams of a frequent surname are dealt in pieces of both sides. Each pair is given once, initials-only shapes on
+    the left; a shape isn't paired with itself.
+    """
+    padded = F.concat(F.lit("#"), F.replace("surname", F.lit(" "), F.lit("$#")), F.lit("$"))
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - (Q - 1)), lambda i: padded.substr(i, F.lit(Q))))
+    rows = cut(shapes.select("shape", "given", "letters", grams.alias("grams")).withColumn("n", F.size("grams")))
+    flat = rows.select("shape", "given", "letters", "n", F.explode("grams").alias("gram"))
+    df = flat.groupBy("gram").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("shape").orderBy("df", "gram")
+    keep = F.col("n") - F.ceil(ALIKE * F.col("n")) + 1
+    prefix = cut(join_small(flat, df, ["gram"]).withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= keep).select("shape", "given", F.substring("letters", 1, 1).alias("letter"), "gram"))
+    side = lambda d, k: d.withColumnRenamed("shape", k)
+    full, bare = prefix.filter("given <> ''"), prefix.filter("given = '' and letter <> ''").select("shape", "letter", "gram")
+    spelt = meet(side(full.select("shape", "given", "gram"), "a"), side(full.select("shape", "given", "gram"), "b"), ["gram", "given"]).filter("a < b")
+    initial = meet(side(bare, "a"), side(full.select("shape", "letter", "gram"), "b"), ["gram", "letter"])
+    pairs = spelt.select("a", "b").unionByName(initial.select("a", "b")).distinct()
+    sets = rows.select("shape", "grams")
+    both = pairs.join(side(sets, "a").withColumnRenamed("grams", "ga"), "a").join(side(sets, "b").withColumnRenamed("grams", "gb"), "b")
+    common = F.size(F.array_intersect("ga", "gb"))
+    return both.filter(common >= ALIKE * (F.size("ga") + F.size("gb") - common)).select("a", "b")
+
+
+def persons(shapes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(shape, person): the person each shape stands for, as far as the names alone tell; pairs are `alike` shapes.
 
     A person is a surname, a given name and, where bearers of both have different middle initials, that initial.
     Spellings without middle initial then fit several persons and stand for none of them, but for each other.
     Spellings with initials only are given to the one person they fit; if they fit none, they go together by initials.
     """
-    named = read.filter("surname <> ''").withColumn("own", F.when(F.col("given") != "", F.aggregate(F.split("given", " "), F.lit(""), lambda acc, g: F.concat(acc, F.substring(g, 1, 1)))).otherwise(""))
-    full = named.filter("given <> ''").withColumn("middle", F.expr("substring(letters, length(own) + 1)")).select("name", "surname", "given", "middle")
+    full = shapes.filter("given <> ''")
     middles = full.groupBy("surname", "given").agg(F.count_distinct(F.when(F.col("middle") != "", F.substring("middle", 1, 1))).alias("kinds"), F.max(F.substring("middle", 1, 1)).alias("known"))
-    settled = full.join(middles, ["surname", "given"]).withColumn("m", F.when(F.col("kinds") <= 1, F.col("known")).otherwise(F.substring("middle", 1, 1)))
-    person = F.concat_ws("|", "surname", "given", "m")
-    of_full = settled.select("name", person.alias("person"))
-    identities = settled.select("surname", F.substring("given", 1, 1).alias("letter"), "given", F.col("m").alias("middle"), "kinds").filter("kinds <= 1 or middle <> ''").distinct().withColumn("person", F.concat_ws("|", "surname", "given", "middle"))
-    bare = named.filter("given = '' and letters <> ''").select("name", "surname", "letters", F.substring("letters", 1, 1).alias("letter"))
-    # initials are compared with identities, not with spellings: of those, only the first two that fit matter
-    shapes = bare.select("surname", "letters", "letter").distinct()
-    initials = F.aggregate(F.split("given", " "), F.lit(""), lambda acc, g: F.concat(acc, F.substring(g, 1, 1)))
-    joined = shapes.join(identities, ["surname", "letter"]).withColumn("ini", initials)
-    several = (F.length("ini") > 1) & F.col("letters").startswith(F.col("ini"))
-    rest = F.when(several, F.expr("substring(letters, length(ini) + 1)")).otherwise(F.expr("substring(letters, 2)"))
-    fit = (rest == "") | (F.col("middle") == "") | (rest == F.col("middle")) | (rest == F.expr("substring(ini, 2)"))
-    options = joined.filter(fit).groupBy("surname", "letters").agg(F.count("*").alias("n"), F.min("person").alias("person"))
+    settled = cut(full.join(middles, ["surname", "given"]).withColumn("m", F.when(F.col("kinds") <= 1, F.col("known")).otherwise(F.substring("middle", 1, 1))).withColumn("person", F.concat_ws("|", "surname", "given", "m")))
+    identities = settled.filter("kinds <= 1 or middle <> ''").select(F.col("shape").alias("b"), F.col("surname").alias("s_b"), "own", "m", "person")
+    bare = shapes.filter("given = '' and letters <> ''").select("shape", "surname", "letters")
+    joined = bare.join(pairs, bare["shape"] == pairs["a"]).join(identities, "b").filter(F.col("surname") == F.col("s_b"))
+    several = (F.length("own") > 1) & F.col("letters").startswith(F.col("own"))
+    rest = F.when(several, F.expr("substring(letters, length(own) + 1)")).otherwise(F.expr("substring(letters, 2)"))
+    fit = (rest == "") | (F.col("m") == "") | (rest == F.col("m")) | (rest == F.expr("substring(own, 2)"))
+    options = joined.filter(fit).groupBy("shape").agg(F.count_distinct("person").alias("n"), F.min("person").alias("fitting"))
     lone = F.concat_ws("|", "surname", F.lit(""), "letters")
-    of_bare = bare.join(options, ["surname", "letters"], "left").withColumn("person", F.when(F.col("n") == 1, F.col("person")).when(F.col("n").isNull(), lone))
-    return of_full.unionByName(of_bare.filter("person is not null").select("name", "person"))
+    of_bare = bare.join(options, "shape", "left").withColumn("person", F.when(F.col("n") == 1, F.col("fitting")).when(F.col("n").isNull(), lone))
+    return settled.select("shape", "person").unionByName(of_bare.filter("person is not null").select("shape", "person"))
 
 
 def soft_similarity(a: dict[str, float], b: dict[str, float], letters_a: str, letters_b: str) -> float:
@@ -260,24 +334,51 @@ def soft_similarity(a: dict[str, float], b: dict[str, float], letters_a: str, le
     return (both + half / 2) / total if total else 0.0
 
 
-def variant_pairs(names: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """(name_a, name_b, similarity), name_a < name_b: spellings of one person; names has the column name.
-
-    Null and blank names, and names without a surname, are linked to nothing. Repeated names count once.
-    """
-    distinct = names.select("name").filter(F.trim("name") != "").distinct()
-    read = cut(readings(distinct))
-    linked = persons(read).join(read.select("name", "weights", "letters"), "name")
-    a = linked.select("person", F.col("name").alias("name_a"), F.col("weights").alias("w_a"), F.col("letters").alias("l_a"))
-    b = linked.select("person", F.col("name").alias("name_b"), F.col("weights").alias("w_b"), F.col("letters").alias("l_b"))
-    pairs = a.join(b, "person").filter("name_a < name_b")
+def linked_shapes(names: DataFrame, threshold: float = 0.5) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(pairs, members, owners): verified pairs of shapes (a, b, similarity), the names of every shape, and the person of
+    every shape that has one. Initials-only shapes of one person are linked to each other through it."""
+    read = cut(readings(names.select("name").filter(F.trim("name") != "").distinct()))
+    shapes, members = shapes_of(read)
+    shapes = cut(shapes)
+    candidates = cut(alike(shapes))
+    owners = cut(persons(shapes, candidates))
+    # initials of one person meet through the full name that both are alike to
+    bare = shapes.filter("given = ''").select("shape")
+    of_bare = owners.join(bare, "shape", "left_semi").filter("person not like '%||%'")
+    both = of_bare.withColumnRenamed("shape", "a").join(of_bare.withColumnRenamed("shape", "b"), "person").filter("a < b").select("a", "b")
+    facts = shapes.select("shape", "weights", "letters").join(owners, "shape")
+    side = lambda k: facts.select(F.col("shape").alias(k), F.col("weights").alias(f"w_{k}"), F.col("letters").alias(f"l_{k}"), F.col("person").alias(f"p_{k}"))
+    same = candidates.unionByName(both).join(side("a"), "a").join(side("b"), "b").filter("p_a = p_b")
 
     @F.pandas_udf(T.DoubleType())
     def similarity(w_a: pd.Series, w_b: pd.Series, l_a: pd.Series, l_b: pd.Series) -> pd.Series:
         return pd.Series([soft_similarity(dict(x), dict(y), p, q) for x, y, p, q in zip(w_a, w_b, l_a, l_b, strict=True)], dtype=float)
 
-    scored = pairs.select("name_a", "name_b", similarity("w_a", "w_b", "l_a", "l_b").alias("similarity"))
-    return scored.filter(F.col("similarity") >= threshold)
+    scored = same.select("a", "b", similarity("w_a", "w_b", "l_a", "l_b").alias("similarity"))
+    return cut(scored.filter(F.col("similarity") >= threshold).distinct()), members, owners
+
+
+def variant_pairs(names: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """(name_a, name_b, similarity), name_a < name_b: spellings of one person; names has the column name.
+
+    Null and blank names, and names without a surname, are linked to nothing. Repeated names count once.
+    """
+    pairs, members, owners = linked_shapes(names, threshold)
+    named = members.join(owners.select("shape"), "shape", "left_semi")
+    alone = named.select(F.col("shape").alias("a"), F.col("shape").alias("b")).distinct().withColumn("similarity", F.lit(1.0))
+    left, right = named.select(F.col("shape").alias("a"), F.col("name").alias("x")), named.select(F.col("shape").alias("b"), F.col("name").alias("y"))
+    spelt = pairs.unionByName(alone).join(left, "a").join(right, "b").filter("x <> y and (a <> b or x < y)")
+    return spelt.select(F.least("x", "y").alias("name_a"), F.greatest("x", "y").alias("name_b"), "similarity")
+
+
+def variant_classes(names: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """(name, person, n_links) for every name with a surname that stands for a person: how many other names are linked to
+    it. The names themselves are never paired, so a person of many spellings costs no more than their number."""
+    pairs, members, owners = linked_shapes(names, threshold)
+    sizes = members.groupBy("shape").agg(F.count("*").alias("size"))
+    ways = pairs.select(F.col("a").alias("shape"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("shape"), F.col("a").alias("other")))
+    links = ways.join(sizes.select(F.col("shape").alias("other"), "size"), "other").groupBy("shape").agg(F.sum("size").alias("more"))
+    return members.join(owners, "shape").join(sizes, "shape").join(links, "shape", "left").select("name", "person", (F.col("size") - 1 + F.coalesce("more", F.lit(0))).alias("n_links"))
 
 
 def all_names(faculty: DataFrame, candidates: DataFrame, papers: DataFrame) -> DataFrame:

@@ -53,6 +53,11 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return names.variant_pairs(spelt).select("name_a", "name_b")
 
 
+def p6_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every name with the person it stands for and the number of names linked to it."""
+    return names.variant_classes(names.all_names(table(spark, d, "raw_faculty"), table(spark, d, "author_candidates"), table(spark, d, "papers")))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_pieces(spark, d).select("source_table", "item_id").distinct()
 

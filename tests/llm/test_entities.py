@@ -105,6 +105,50 @@ def test_variants(spark):
     assert names.variant_pairs(spark.createDataFrame([], "name string")).count() == 0
 
 
+def test_classes_count_the_links(spark):
+    every = ["William Vormelder", "Bill Vormelder", "Vormelder, William", "W. Vormelder", "Jana Tiskamel", "Maria A. Orbeck", "M. A. Orbeck", "Maria C. Orbeck", "12"]
+    df = spark.createDataFrame([(n,) for n in every], "name string")
+    got = {r.name: r.n_links for r in names.variant_classes(df).collect()}
+    pairs = names.variant_pairs(df).collect()
+    assert got == {n: sum(n in (p.name_a, p.name_b) for p in pairs) for n in every[:-1]} and got["Jana Tiskamel"] == 0
+
+
+def test_short_forms_are_learnt(spark):
+    rnd = random.Random(8)
+    surnames = [f"s{n}" for n in range(60)]
+    bearers = {("zorbert", s) for s in surnames[:30]} | {("zob", s) for s in surnames[:9]} | {("zob", "s40")} | {("few", s) for s in surnames[:3]}
+    bearers |= {(f"other{k}", s) for k in range(8) for s in rnd.sample(surnames, 14)}
+    got = {r.short: r.long for r in names.short_forms(spark.createDataFrame(sorted(bearers), "given string, surname string")).collect()}
+    sets = {}
+    for g, s in bearers:
+        sets.setdefault(g, set()).add(s)
+    expected = {}
+    for x, mine in sets.items():
+        fits = [(len(mine & theirs) / len(mine), len(theirs), y) for y, theirs in sets.items() if len(mine) < len(theirs) and len(mine & theirs) >= max(names.LEAST_SHARED, names.CONTAINED * len(mine))]
+        if fits:
+            expected[x] = max(fits)[2]
+    assert got == expected and got["zob"] == "zorbert"
+
+
+@pytest.mark.parametrize("piece", [2_000, 3])
+def test_alike_shapes_against_brute_force(spark, monkeypatch, piece):
+    from skein import runtime
+
+    monkeypatch.setattr(names, "meet", lambda a, b, keys: runtime.meet(a, b, keys, piece))
+    rnd = random.Random(2)
+    surnames = ["vormelder", "vormeldar", "tiskamel", "tiskamels orbeck", "orbeck", "ox"]
+    rows = sorted({(rnd.choice(surnames), rnd.choice(["ann", "adam", "bert", ""]), rnd.choice("ab")) for _ in range(60)})
+    df = spark.createDataFrame([(k, s, g, g[:1] or i) for k, (s, g, i) in enumerate(rows)], "shape long, surname string, given string, letters string")
+    grams = lambda s: {p[i:i + 3] for p in ["#" + s.replace(" ", "$#") + "$"] for i in range(len(p) - 2)}
+    expected = set()
+    for i, (s, g, x) in enumerate(rows):
+        for j, (t, h, y) in enumerate(rows):
+            near = len(grams(s) & grams(t)) >= names.ALIKE * len(grams(s) | grams(t))
+            if near and ((g and g == h and i < j) or (not g and h and x == h[0])):
+                expected.add((i, j))
+    assert {tuple(r) for r in names.alike(df).collect()} == expected and expected
+
+
 ENTITY = "id long, name string, titles array<string>, texts array<string>, affiliations array<string>, side string, block string"
 
 

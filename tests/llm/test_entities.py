@@ -67,10 +67,39 @@ def test_copies_repeats_and_unusable_vectors(spark):
     assert neighbours.similar_vectors(table(spark, []), 3, dimension=3).count() == 0
 
 
+def test_residual_centres_multiply_the_cells(spark, monkeypatch):
+    """With few coarse centres the second level keeps cells small, recall high and the largest task bounded."""
+    monkeypatch.setattr(neighbours, "COARSE", 4)
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 30)
+    seen = []
+    for n in (600, 2400):
+        x = clusters(n, seed=n)
+        df = table(spark, [("m", i, None, v.tolist()) for i, v in enumerate(x)])
+        units = neighbours._units(df, 16)
+        model = neighbours._fit(units.select("version", "id", "unit"), {"m": n}, 16)
+        assert len(model.centres["m"][0]) == 4 and len(model.centres["m"][1]) == n // 30 // 4
+        near = model.nearest("m", neighbours._unpack([r.unit for r in units.collect()], 16), 1)
+        seen.append(int(np.unique(near, return_counts=True)[1].max()))
+        got = neighbours.similar_vectors(df, 5, 0.8, dimension=16, probes=6).collect()
+        truth = brute(x, 5, 0.8)
+        found = {}
+        for r in got:
+            found.setdefault(r.query_id, set()).add(r.neighbour_id)
+        assert sum(len(found.get(i, set()) & set(t)) for i, t in truth.items()) >= 0.9 * sum(map(len, truth.values()))
+    assert seen[1] < 2 * seen[0]  # four times the vectors, but more cells and not larger ones
+
+
+def test_packed_vectors_keep_their_cosines():
+    rnd = np.random.default_rng(3)
+    x = rnd.standard_normal((200, 768))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    assert np.abs(neighbours._unpack(neighbours._pack(x), 768) @ x.T - x @ x.T).max() < 1e-5
+
+
 def test_collision_counts():
     rnd = np.random.default_rng(1)
     stored, queries = rnd.standard_normal((50, 7)).astype(np.float32), rnd.standard_normal((9, 7)).astype(np.float32)
-    counts = neighbours.count_collisions(stored, queries, 0.5)
+    counts = neighbours.Arrays(stored).collisions(queries, 0.5)
     expected = (np.abs(stored[None] - queries[:, None]) <= 0.5).sum(2)
     assert np.abs(counts.astype(int) - expected).max() <= 1 and (counts == expected).mean() > 0.99
 

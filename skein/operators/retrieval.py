@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.text import name_key, terms
+from skein.runtime import cut, join_small
 
 K1, B = 1.2, 0.75
 
@@ -71,47 +72,70 @@ def _units(table: pa.Table, key: str, dimension: int) -> tuple[np.ndarray, np.nd
     return np.asarray(table.column(key))[right[usable]].astype(np.int64), values[usable] / norms[usable, None]
 
 
-def postings(corpus: DataFrame) -> DataFrame:
-    """(term, doc_id, tf, length): the inverted table of documents (doc_id, text)."""
-    words = F.filter(F.split(F.coalesce(name_key(F.col("text")), F.lit("")), " "), lambda w: w != "")
-    split = corpus.select("doc_id", words.alias("w")).withColumn("length", F.size("w"))
-    return split.select("doc_id", "length", F.explode("w").alias("term")).groupBy("term", "doc_id", "length").agg(F.count("*").alias("tf"))
+#: Weights of a term in the title and in the text.
+TITLE_WEIGHT, TEXT_WEIGHT = 1.0, 0.4
 
 
-def bm25_top_k(queries: DataFrame, corpus: DataFrame, k: int = 50, decimals: int = 6) -> DataFrame:
-    """(query_id, doc_id, score, rank): Okapi BM25 top k. queries: (query_id, text); corpus: (doc_id, text).
+def postings(corpus: DataFrame, title_weight: float = TITLE_WEIGHT, text_weight: float = TEXT_WEIGHT) -> DataFrame:
+    """(term, doc_id, tf, length): the inverted table of documents (doc_id, title, text), written once.
 
-    Statistics cover the whole corpus. Queries meet documents through the inverted table on the term; frequent terms are
-    spread by the optimizer's skew handling since the query side is small.
+    tf is the weighted number of times a term occurs in title and text, in units of the text's weight; length is the
+    weighted number of all terms. A document that has a term only in its title is in the table too.
     """
-    table = postings(corpus)
-    sizes = corpus.select("doc_id").distinct()
-    shape = table.groupBy("doc_id").agg(F.max("length").alias("length")).agg(F.avg("length").alias("mean_length"))
-    n = sizes.agg(F.count("*").alias("n_docs"))
-    df = table.groupBy("term").agg(F.count("*").alias("df"))
-    asked = queries.select("query_id", F.explode(terms(F.col("text"), 1)).alias("term")).filter("term <> ''")
-    weighted = asked.join(df, "term").crossJoin(F.broadcast(n)).crossJoin(F.broadcast(shape))  # two single rows
+    words = lambda c: F.filter(F.split(F.coalesce(name_key(F.col(c)), F.lit("")), " "), lambda w: w != "")
+    factor = title_weight / text_weight
+    split = corpus.select("doc_id", words("title").alias("a"), words("text").alias("b")).withColumn("length", F.size("a") * F.lit(factor) + F.size("b"))
+    both = F.concat(F.transform("a", lambda w: F.struct(w.alias("term"), F.lit(factor).alias("n"))), F.transform("b", lambda w: F.struct(w.alias("term"), F.lit(1.0).alias("n"))))
+    return cut(split.select("doc_id", "length", F.explode(both).alias("x")).groupBy(F.col("x.term").alias("term"), "doc_id", "length").agg(F.sum("x.n").alias("tf")))
+
+
+def _hits(asked: DataFrame, table: DataFrame) -> DataFrame:
+    """Query terms with their postings. The terms asked for are a small side; where they aren't, they are spread by salt,
+    since a frequent term has a posting in nearly every document."""
+    return join_small(table, asked, ["term"])
+
+
+def bm25_top_k(queries: DataFrame, corpus: DataFrame, k: int = 50, decimals: int = 6, table: DataFrame | None = None) -> DataFrame:
+    """(query_id, doc_id, score, rank): BM25 top k over weighted fields. queries: (query_id, text); corpus: (doc_id,
+    title, text); `table` are its postings if they are at hand.
+
+    Statistics cover the whole corpus. Only postings of terms that are asked for are scored.
+    """
+    table = postings(corpus) if table is None else table
+    sizes = table.select("doc_id", "length").distinct().agg(F.avg("length").alias("mean_length"))
+    n = corpus.select("doc_id").distinct().agg(F.count("*").alias("n_docs"))
+    asked = cut(queries.select("query_id", F.explode(terms(F.col("text"), 1)).alias("term")).filter("term <> ''"))
+    df = table.join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
+    weighted = asked.join(df, "term").crossJoin(F.broadcast(n)).crossJoin(F.broadcast(sizes))  # two single rows
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean_length")))
-    scored = weighted.join(table, "term").groupBy("query_id", "doc_id").agg(F.round(F.sum(part), decimals).alias("score"))
+    scored = _hits(weighted, table).groupBy("query_id", "doc_id").agg(F.round(F.sum(part), decimals).alias("score"))
     return first_k(scored, "query_id", [F.col("score").desc(), F.col("doc_id").asc()], k)
 
 
-def matching_all(queries: DataFrame, corpus: DataFrame) -> DataFrame:
-    """(query_id, doc_id) of the documents that hold every term of the query."""
-    asked = queries.select("query_id", F.explode(terms(F.col("text"), 1)).alias("term")).filter("term <> ''")
+def matching_all(queries: DataFrame, corpus: DataFrame, table: DataFrame | None = None) -> DataFrame:
+    """(query_id, doc_id) of the documents that hold every term of the query in title or text."""
+    asked = cut(queries.select("query_id", F.explode(terms(F.col("text"), 1)).alias("term")).filter("term <> ''"))
     need = asked.groupBy("query_id").agg(F.count("*").alias("_need"))
-    hits = asked.join(postings(corpus).select("term", "doc_id"), "term").groupBy("query_id", "doc_id").agg(F.count("*").alias("_have"))
+    table = postings(corpus) if table is None else table
+    hits = _hits(asked, table.select("term", "doc_id")).groupBy("query_id", "doc_id").agg(F.count("*").alias("_have"))
     return hits.join(need, "query_id").filter("_have = _need").select("query_id", "doc_id")
 
 
-def fuse(channels: dict[str, DataFrame], k: int = 60, keep: int = 100, decimals: int = 9) -> DataFrame:
+def single(channel: DataFrame, k: int = 60, decimals: int = 9) -> DataFrame:
+    """A channel alone with the score 1 / (k + rank), so that single and fused scores can be compared."""
+    return channel.withColumn("score", F.round(1 / (k + F.col("rank")), decimals))
+
+
+def fuse(channels: dict[str, DataFrame], k: int = 60, keep: int = 100, decimals: int = 9, trace: bool = False) -> DataFrame:
     """(query_id, doc_id, score, best_rank, rank): reciprocal rank fusion of ranked channels (query_id, doc_id, rank).
 
     A channel in which a document is absent adds nothing. Union and one aggregate instead of an outer join per channel.
+    With `trace`, rank_<channel> tells the rank that each channel gave, null where the document is absent.
     """
-    ranked = reduce(DataFrame.unionByName, [c.select("query_id", "doc_id", "rank") for c in channels.values()])
-    fused = ranked.groupBy("query_id", "doc_id").agg(F.round(F.sum(1 / (k + F.col("rank"))), decimals).alias("score"), F.min("rank").alias("best_rank"))
+    ranked = reduce(DataFrame.unionByName, [c.select("query_id", "doc_id", "rank", F.lit(name).alias("_c")) for name, c in channels.items()])
+    ranks = [F.min(F.when(F.col("_c") == name, F.col("rank"))).alias(f"rank_{name}") for name in channels] if trace else []
+    fused = ranked.groupBy("query_id", "doc_id").agg(F.round(F.sum(1 / (k + F.col("rank"))), decimals).alias("score"), F.min("rank").alias("best_rank"), *ranks)
     return first_k(fused, "query_id", [F.col("score").desc(), F.col("best_rank").asc(), F.col("doc_id").asc()], keep)
 
 
@@ -120,7 +144,8 @@ def rank_owners(results: DataFrame, documents: DataFrame, weights: tuple[float,
 
     results: (query_id, doc_id, score, rank); documents: (doc_id, owner_id, document_type, external_id). Documents of
     one owner with the same type and external id (chunks) count once, the best one. Missing places count 0; owners
-    without a document don't appear.
+    without a document don't appear. Ties go to the better document, then to the first normalised name where documents
+    have owner_name, then to the smaller id.
     """
     owned = results.join(documents, "doc_id").filter("owner_id is not null")
     once = Window.partitionBy("query_id", "owner_id", "document_type", "external_id").orderBy("rank")
@@ -128,8 +153,10 @@ def rank_owners(results: DataFrame, documents: DataFrame, weights: tuple[float,
     place = Window.partitionBy("query_id", "owner_id").orderBy("rank")
     top = best.withColumn("_p", F.row_number().over(place)).filter(F.col("_p") <= len(weights))
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), F.col("_p"))
-    owners = top.groupBy("query_id", "owner_id").agg(F.round(F.sum(F.col("score") * weight), decimals).alias("score"), F.min("rank").alias("best_rank"), F.count("*").alias("n_evidence"))
-    return first_k(owners, "query_id", [F.col("score").desc(), F.col("best_rank").asc(), F.col("owner_id").asc()], keep)
+    named = "owner_name" in documents.columns
+    owners = top.groupBy("query_id", "owner_id").agg(F.round(F.sum(F.col("score") * weight), decimals).alias("score"), F.min("rank").alias("best_rank"), F.count("*").alias("n_evidence"), *([F.min(name_key(F.col("owner_name"))).alias("_name")] if named else []))
+    order = [F.col("score").desc(), F.col("best_rank").asc(), *([F.col("_name").asc_nulls_last()] if named else []), F.col("owner_id").asc()]
+    return first_k(owners, "query_id", order, keep).drop("_name")
 
 
 def compose_query(text: str, interests: str = "", methods: str = "", background: str = "", most_chars: int = 8000) -> str:

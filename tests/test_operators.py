@@ -277,19 +277,24 @@ def test_dense_ties_and_unusable_vectors(spark):
 
 
 def test_bm25_and_matching_all(spark):
-    corpus = spark.createDataFrame([(1, "red fox red"), (2, "fox"), (3, "dog"), (4, None), (5, "")], "doc_id long, text string")
-    queries = spark.createDataFrame([(9, "red fox"), (8, "zebra")], "query_id long, text string")
-    got = [(r.query_id, r.doc_id) for r in retrieval.bm25_top_k(queries, corpus, 5).orderBy("rank").collect()]
-    assert got == [(9, 1), (9, 2)]
-    mean, idf = 5 / 3, lambda df: math.log(1 + (5 - df + 0.5) / (df + 0.5))
+    corpus = spark.createDataFrame([(1, None, "red fox red"), (2, "", "fox"), (3, "Red", "dog"), (4, None, None), (5, "", "")], "doc_id long, title string, text string")
+    queries = spark.createDataFrame([(9, "red fox"), (8, "zebra"), (7, "red dog")], "query_id long, text string")
+    got = {r.query_id: [] for r in queries.collect()}
+    for r in retrieval.bm25_top_k(queries, corpus, 5).orderBy("rank").collect():
+        got[r.query_id].append((r.doc_id, r.score))
+    factor = retrieval.TITLE_WEIGHT / retrieval.TEXT_WEIGHT
+    mean, idf = (3 + 1 + 1 + factor) / 3, lambda df: math.log(1 + (5 - df + 0.5) / (df + 0.5))
     weight = lambda tf, n: tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n / mean))
-    assert retrieval.bm25_top_k(queries, corpus, 1).first()["score"] == pytest.approx(idf(1) * weight(2, 3) + idf(2) * weight(1, 3), abs=1e-5)
-    assert [tuple(r) for r in retrieval.matching_all(queries, corpus).collect()] == [(9, 1)]
+    assert dict(got[9]) == pytest.approx({1: idf(2) * weight(2, 3) + idf(2) * weight(1, 3), 2: idf(2) * weight(1, 1), 3: idf(2) * weight(factor, 1 + factor)}, abs=1e-5)
+    assert got[8] == [] and got[7][0][0] == 3
+    assert {tuple(r) for r in retrieval.matching_all(queries, corpus).collect()} == {(9, 1), (7, 3)}  # title and text together
 
 
 def test_fusion_and_owners(spark):
     a = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], "query_id int, doc_id int, rank int")
     b = spark.createDataFrame([(1, 11, 1), (1, 12, 2)], "query_id int, doc_id int, rank int")
+    traced = {r.doc_id: (r.rank_a, r.rank_b) for r in retrieval.fuse({"a": a, "b": b}, trace=True).collect()}
+    assert traced == {10: (1, None), 11: (2, 1), 12: (None, 2)} and retrieval.single(a).first().score == round(1 / 61, 9)
     fused = retrieval.fuse({"a": a, "b": b})
     assert [(r.doc_id, round(r.score, 6)) for r in fused.orderBy("rank").collect()] == [(11, round(1 / 61 + 1 / 62, 6)), (10, round(1 / 61, 6)), (12, round(1 / 62, 6))]
     docs = spark.createDataFrame([(10, "o", "t", "x"), (11, "o", "t", "x"), (12, "p", "t", "y")], "doc_id int, owner_id string, document_type string, external_id string")

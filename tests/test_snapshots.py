@@ -14,7 +14,7 @@ T0 = datetime(2024, 1, 1)
 
 
 def changes(spark, rows, runs):
-    found = snapshot_changes(spark.createDataFrame(rows, ROWS), spark.createDataFrame(runs, RUNS), ["name", "areas", "homes"])
+    found = snapshot_changes(spark.createDataFrame(rows, ROWS), spark.createDataFrame(runs, RUNS), ["name", "areas", "homes"]).drop("changed_columns")
     out = [tuple(r) for r in found.collect()]
     assert len(out) == len(set(out))
     return set(out)
@@ -96,8 +96,24 @@ def test_absences_match_batches_applied_one_by_one(spark):
 
 def test_the_diff_needs_one_shuffle_of_the_records_by_range(spark):
     rows = spark.createDataFrame([row(0, "k"), row(1, "k", "b")], ROWS)
-    found = snapshot_changes(rows, spark.createDataFrame(runs_of(True, True), RUNS), ["name", "areas", "homes"])
+    found = snapshot_changes(rows, spark.createDataFrame(runs_of(True, True), RUNS), ["name", "areas", "homes"]).drop("changed_columns")
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("rangepartitioning") == 1
     window = plan[plan.index("Window [") : plan.index("rangepartitioning")]
     assert "hashpartitioning" not in window
+
+
+def test_kept_snapshots_give_the_same_changes(spark, tmp_path):
+    from skein.operators.snapshots import Archive
+
+    shape = "source_name string, snapshot_id string, source_faculty_key string, loaded_at timestamp, name string, areas array<string>, junk string"
+    at = datetime(2024, 1, 1)
+    rows = [("s", "1", "K/a/", at, "Ann", ["x", "y"], ""), ("s", "1", "k/b", at, "Bob", None, ""), ("s", "1", "k/d", at, "Dan", [], ""), ("s", "2", " k/A", at, "Ann  ", ["y", "x"], "z"), ("s", "2", "k/b", at, "Rob", ["q"], ""), ("s", "2", "k/c", at, "Cy", [], ""), ("t", "1", "k/a", at, "other", None, "")]
+    records = spark.createDataFrame(rows, shape)
+    archive = Archive(spark, f"file://{tmp_path}/kept", ["name", "areas"])
+    for snapshot in ("1", "2", "2", "3"):
+        archive.keep(records, "s", snapshot)
+    got = {(r.source_faculty_key, r.change_kind, tuple(r.changed_columns)) for r in archive.changes("s", "1", "2").collect()}
+    assert got == {("k/b", "changed", ("name", "areas")), ("k/c", "added", ()), ("k/d", "removed", ())}
+    assert {(r.source_faculty_key, r.change_kind) for r in archive.changes("s", "2", "3").collect()} == {("k/a", "removed"), ("k/b", "removed"), ("k/c", "removed")}
+    assert archive.changes("s", "2", "2").count() == 0

@@ -36,3 +36,14 @@ def merged(left: Column, right: Column) -> Column:
 def union_sorted(left: Column, right: Column) -> Column:
     empty = F.array().cast("array<string>")
     return F.array_sort(F.array_union(F.coalesce(left, empty), F.coalesce(right, empty)))
+
+
+def with_entry(column: Column, key: str, value: Column) -> Column:
+    """A map of strings with one entry set, whatever it held before; null counts as empty."""
+    rest = F.map_filter(F.coalesce(column, F.create_map().cast("map<string,string>")), lambda k, v: k != key)
+    return F.map_concat(rest, F.create_map(F.lit(key), value.cast("string")))
+
+
+def envelope(columns: list[str], source: Column, payload: Column) -> Column:
+    """A record as one JSON text: its normalised columns under `record`, where it came from, and what was delivered."""
+    return F.to_json(F.struct(F.struct(*sorted(columns)).alias("record"), source.alias("source"), payload.alias("payload")), {"ignoreNullFields": "false"})

@@ -36,9 +36,15 @@ def representatives(papers: DataFrame, owner: str = "author_id") -> DataFrame:
     return keyed.groupBy("component").agg(
         F.max_by(F.struct(*kept), precedence()).alias("best"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("aliases")))).alias("aliases"),
-        F.array_sort(F.collect_set(F.concat_ws(":", "source_name", "external_id"))).alias("provider_ids"),
+        F.collect_set(F.struct("source_name", "external_id")).alias("ids"),  # the records of one work
         F.count("*").alias("n_records"),
-    ).select("best.*", "aliases", "provider_ids", "n_records")
+    ).select("best.*", "aliases", _ids_by_provider(F.col("ids")).alias("provider_ids"), "n_records")
+
+
+def _ids_by_provider(pairs: F.Column) -> F.Column:
+    """(source_name, external_id) pairs as a map from providers to their ids, both in order."""
+    providers = F.array_sort(F.array_distinct(F.transform(pairs, lambda x: x["source_name"])))
+    return F.map_from_arrays(providers, F.transform(providers, lambda p: F.array_sort(F.transform(F.filter(pairs, lambda x: x["source_name"] == p), lambda x: x["external_id"]))))
 
 
 def select_recent(works: DataFrame, cutoff_year: int, years: int = 7, most: int = 15, owner: str = "author_id", least_title: int = 12) -> DataFrame:

@@ -26,7 +26,8 @@ def paper_precedence(spark: SparkSession, d: str) -> DataFrame:
 def works(spark: SparkSession, d: str) -> DataFrame:
     """One row per work of an author, with all its aliases."""
     found = dedupe.representatives(_once(table(spark, d, "papers")))
-    return found.select("author_id", "record", F.array_join("aliases", "; ").alias("aliases"), F.array_join("provider_ids", "; ").alias("provider_ids"), "n_records")
+    ids = F.flatten(F.transform(F.map_entries("provider_ids"), lambda e: F.transform(e["value"], lambda v: F.concat(e["key"], F.lit(":"), v))))
+    return found.select("author_id", "record", F.array_join("aliases", "; ").alias("aliases"), F.array_join(ids, "; ").alias("provider_ids"), "n_records")
 
 
 def _once(papers: DataFrame) -> DataFrame:
@@ -50,7 +51,22 @@ def favourite_venues(spark: SparkSession, d: str) -> DataFrame:
 
 _ONCE = "(select * from papers qualify row_number() over (partition by author_id, external_id order by fetched_at desc, publication_date desc) = 1)"
 
+_TITLE = "trim(regexp_replace(replace(lower(strip_accents(title)), chr(223), 'ss'), '[^\\p{L}\\p{N}_]+', ' ', 'g'))"
+_BARE = "nullif(regexp_replace(trim(regexp_replace(regexp_replace(lower(trim(doi)), '^https?://(dx\\.)?doi\\.org/', ''), '^doi:\\s*', '')), '[\\s.]+$', ''), '')"
+
 SQL = {
+    "works": f"""
+with recursive k as (
+  select *, author_id || '|' || source_name || '|' || external_id as record,
+    list_distinct(list_filter(['doi:' || {_BARE}, source_name || ':' || lower(external_id), case when {_TITLE} <> '' and year > 0 then 'title-year|' || {_TITLE} || '|' || year::int::varchar end], lambda x: x is not null)) as aliases
+  from {_ONCE} where external_id is not null and title is not null),
+e as (select distinct record, author_id || '|' || unnest(aliases) as alias from k),
+r as (select record, record as other from k union select r.record, y.record from r join e x on r.other = x.record join e y on x.alias = y.alias),
+c as (select record, min(other) as component from r group by 1),
+j as (select k.*, component, row_number() over (partition by component order by {_BARE} is not null and trim(coalesce(doi, '')) <> '' desc, trim(coalesce(abstract, '')) <> '' desc,
+    coalesce(nullif(trim(publication_date), ''), case when year > 0 then lpad(year::int::varchar, 4, '0') end, '') desc, record desc) as n from k join c using (record)),
+g as (select component, array_to_string(list_sort(list_distinct(flatten(list(aliases)))), '; ') as aliases, string_agg(distinct source_name || ':' || external_id, '; ' order by source_name || ':' || external_id) as provider_ids, count(*) as n_records from j group by 1)
+select author_id, record, g.aliases, g.provider_ids, g.n_records from j join g using (component) where n = 1""",
     "dois": "select distinct doi, nullif(regexp_replace(trim(regexp_replace(regexp_replace(lower(trim(doi)), '^https?://(dx\\.)?doi\\.org/', ''), '^doi:\\s*', '')), '[\\s.]+$', ''), '') as bare from papers where doi is not null",
     "paper_precedence": """
 select author_id, external_id, title, year, fetched_at from papers

@@ -176,7 +176,7 @@ with {_POSTINGS}, asked as (select distinct t as query_id, unnest({_WORDS.format
 need as (select query_id, count(*) as n from asked group by 1)
 select query_id, doc_id from (select query_id, doc_id, count(*) as have from asked join tf using (term) group by 1, 2) join need using (query_id) where have = n""",
     "fused": _FUSED,
-    "traced": f"select f.*, d.rank as rank_dense, l.rank as rank_lexical from ({_FUSED}) f left join ({_DENSE}) d using (query_id, doc_id) left join ({_LEXICAL}) l using (query_id, doc_id)",
+    "traced": f"with f as ({_FUSED}), d as ({_DENSE}), l as ({_LEXICAL}) select f.*, d.rank as rank_dense, l.rank as rank_lexical from f left join d using (query_id, doc_id) left join l using (query_id, doc_id)",
     "channel_comparison": " union all ".join(
         f"select '{c}' as measure, round(avg({c}), 6) as mean, count({c}) as n_queries, '{name}' as channel from ({_PER_QUERY.replace('$ranked', ranked)})"
         for name, ranked in (("dense", _DENSE), ("lexical", _LEXICAL), ("fused", _FUSED), ("fused_50", _HALF)) for c in ("recall_10", "reciprocal_rank", "ndcg_10")),

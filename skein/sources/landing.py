@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein.functions.canonical import squeeze
+from skein.operators import matching
 from skein.runtime import frame, spread
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -104,6 +105,7 @@ class Layout:
     area: tuple[str, ...] = ("research-area",)
     affiliation: tuple[str, ...] = ("affiliation",)
     lab: tuple[str, ...] = ("lab-link",)
+    publication: tuple[str, ...] = ("publication-title",)
 
 
 def _value(node: Element | None) -> str | None:
@@ -146,12 +148,15 @@ def read_profile(html: str | None, url: str, layout: Layout = Layout()) -> dict:
         "name": _value(root.first(tag="h1")), "title": _value(root.first(*layout.title)), "affiliations": affiliations,
         "research_areas": list(dict.fromkeys(t for e in root.walk() if e.classes & set(layout.area) and (t := e.text()))),
         "research_summary": _value(root.first(*layout.summary)), "biography": _value(root.first(*layout.biography)),
+        "lab_text": lab.text() or None if lab is not None else None,
+        "known_titles": list(dict.fromkeys(t for e in root.walk() if e.classes & set(layout.publication) and (t := e.text()))),
+        "identifiers": {e.attributes["data-identifier"]: e.attributes.get("href") or e.text() for e in root.walk() if e.attributes.get("data-identifier")},
         "lab_url": urljoin(url, lab_link.attributes["href"]) if lab_link is not None and lab_link.attributes.get("href") else None,
     }
 
 
 _LISTING = "page_url string, position int, source_key string, name string, profile_url string, title string, department string, role string, next_url string, errors array<string>"
-_PROFILE = "page_url string, name string, title string, affiliations array<struct<school:string,department:string>>, research_areas array<string>, research_summary string, biography string, lab_url string"
+_PROFILE = "page_url string, name string, title string, affiliations array<struct<school:string,department:string>>, research_areas array<string>, research_summary string, biography string, lab_url string, lab_text string, known_titles array<string>, identifiers map<string,string>"
 
 
 def listings(pages: DataFrame, layout: Layout = Layout()) -> DataFrame:  # noqa: B008
@@ -175,13 +180,57 @@ def is_complete(parsed: DataFrame) -> DataFrame:
     return pages.agg(F.count("*").alias("n_pages"), F.sum(F.size("errors")).alias("n_errors"), F.count_if(F.col("next_url").isNull()).alias("_ends")).select(((F.coalesce(F.col("n_errors"), F.lit(1)) == 0) & (F.col("_ends") == 1)).alias("complete"), "n_pages", F.coalesce("n_errors", F.lit(0)).alias("n_errors"))
 
 
+def audit(parsed: DataFrame, host: str) -> DataFrame:
+    """(n_pages, n_errors, n_listed, n_linked, n_unlinked, n_repeated, n_foreign, has_cycle) of a parsed listing: cards
+    with and without a link, keys or addresses listed more than once, links to other hosts, and whether a page follows
+    itself or two pages have the same successor."""
+    pages, cards = parsed.filter("position = -1"), parsed.filter("position >= 0")
+    foreign = ~F.lower("profile_url").rlike(f"^https?://{host.replace('.', '[.]')}(?:[:/?#]|$)")
+    listed = cards.agg(F.count("*").alias("n_listed"), F.count("profile_url").alias("n_linked"), F.count_if(F.col("profile_url").isNull()).alias("n_unlinked"), F.count_if(foreign).alias("n_foreign"))
+    repeated = cards.groupBy(F.coalesce("source_key", "profile_url").alias("k")).count().filter("k is not null").agg(F.count_if(F.col("count") > 1).alias("n_repeated"))
+    turns = pages.groupBy("next_url").agg(F.count("*").alias("n"), F.bool_or(F.col("next_url") == F.col("page_url")).alias("own")).filter("next_url is not null").agg(F.coalesce(F.bool_or((F.col("n") > 1) | F.col("own")), F.lit(False)).alias("has_cycle"))
+    seen = pages.agg(F.count("*").alias("n_pages"), F.coalesce(F.sum(F.size("errors")), F.lit(0)).alias("n_errors"))
+    return seen.crossJoin(listed).crossJoin(repeated).crossJoin(turns)  # four single rows
+
+
+def with_profiles(parsed: DataFrame, profile_pages: DataFrame, layout: Layout = Layout(), home: str | None = None) -> DataFrame:  # noqa: B008
+    """Listed persons with what their profile page says: a crawl of the listing and of every profile.
+
+    A person whose page is missing or has no name keeps the row of the listing, with `profile_error`; persons without a
+    link have none to miss. Fields of the profile come first, those of the listing fill in; `home` is the affiliation of
+    persons whose profile names none.
+    """
+    cards = parsed.filter("position >= 0").select("source_key", "profile_url", F.col("name").alias("_name"), F.col("title").alias("_title"), "department", "role")
+    found = profiles(profile_pages, layout).withColumnRenamed("page_url", "profile_url").dropDuplicates(["profile_url"])
+    joined = cards.join(found, "profile_url", "left")
+    error = F.when(F.col("profile_url").isNotNull() & F.col("name").isNull(), "the profile page could not be read")
+    homes = F.array(F.struct(F.coalesce(F.lit(home), F.lit("")).alias("school"), F.col("department").alias("department")))
+    return joined.select(
+        "source_key", "profile_url", F.coalesce("name", "_name").alias("name"), F.coalesce("title", "_title").alias("title"), "role",
+        F.when(F.size("affiliations") > 0, F.col("affiliations")).when(F.lit(home).isNotNull(), homes).otherwise(F.array().cast("array<struct<school:string,department:string>>")).alias("affiliations"),
+        "research_areas", "research_summary", "biography", "lab_url", "lab_text", "known_titles", "identifiers", error.alias("profile_error"),
+    )
+
+
+def with_feed(parsed: DataFrame, people: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(persons, outcome): a listing reconciled with the people feed instead of a crawl of profiles.
+
+    persons: (listing_id, feed_id, how) of matching.reconcile, listing_id being the page and position; outcome: one row
+    of matching.completeness, complete only if the listing is, too.
+    """
+    cards = parsed.filter("position >= 0").select(F.concat_ws("#", "page_url", "position").alias("listing_id"), F.col("profile_url").alias("url"), "name")
+    found = matching.reconcile(cards, people.filter("problem is null").select(F.col("person_id").alias("feed_id"), "url", "name"))
+    both = matching.completeness(found).withColumnRenamed("complete", "_matched").crossJoin(is_complete(parsed).select("complete"))  # two single rows
+    return found, both.select((F.col("complete") & F.col("_matched")).alias("complete"), "n_matched", "n_unmatched", "n_left_over", "n_repeated")
+
+
 def profiles(pages: DataFrame, layout: Layout = Layout()) -> DataFrame:  # noqa: B008
     """One row per landed profile page (url, body)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [{"page_url": url, **read_profile(body, url, layout)} for url, body in batch[["url", "body"]].itertuples(index=False)]
-            yield frame(rows, ["page_url", "name", "title", "affiliations", "research_areas", "research_summary", "biography", "lab_url"])
+            yield frame(rows, ["page_url", "name", "title", "affiliations", "research_areas", "research_summary", "biography", "lab_url", "lab_text", "known_titles", "identifiers"])
 
     return spread(pages.select("url", "body")).mapInPandas(run, _PROFILE)
 
@@ -229,6 +278,21 @@ def papers(responses: DataFrame, start_year: int | None = None, most: int | None
     return kept.drop("page", "pos")
 
 
+def offsets_advance(responses: DataFrame) -> DataFrame:
+    """(author_id, advances): whether the `next` of every result page (author_id, page, body) is greater than the one
+    before it, so that paging came to an end."""
+    read = responses.select("author_id", "page", F.get_json_object("body", "$.next").cast("long").alias("next"))
+    before = F.lag("next").over(Window.partitionBy("author_id").orderBy("page"))
+    return read.withColumn("_ok", F.coalesce(F.col("next") > before, F.lit(True))).groupBy("author_id").agg(F.bool_and("_ok").alias("advances"))
+
+
+def accepted(responses: DataFrame) -> DataFrame:
+    """Responses (status, body) to go on with: a refused key (401, 403) is an error; other failures have no body, so that
+    what is read from them is incomplete."""
+    refused = F.when(F.col("status").isin(401, 403), F.raise_error(F.concat(F.lit("refused with status "), F.col("status"))))
+    return responses.withColumn("body", F.when(F.col("status").isin(401, 403), refused.cast("string")).when(F.col("status") < 400, F.col("body")))
+
+
 def authors(responses: DataFrame) -> DataFrame:
     """Candidates of landed author searches (person_id, body): (person_id, author_id, name, affiliations, titles,
     complete). A malformed candidate makes its whole response incomplete."""
@@ -257,7 +321,10 @@ def feed(pages: DataFrame, host: str, prefix: str) -> DataFrame:
 
 
 def feed_is_complete(pages: DataFrame, people: DataFrame) -> DataFrame:
-    """(complete): totals agree on all pages and with the number of sound rows, and no row has a problem."""
-    totals = pages.agg(F.count_distinct("total").alias("k"), F.max("total").alias("t"))
+    """(complete): totals, and numbers of pages where pages have n_pages, agree on all pages and with what is there, and
+    no row has a problem."""
+    counted = (F.count_distinct("n_pages"), F.max("n_pages")) if "n_pages" in pages.columns else (F.lit(1), F.count_distinct("page"))
+    totals = pages.agg(F.count_distinct("total").alias("k"), F.max("total").alias("t"), F.count_distinct("page").alias("seen"), counted[0].alias("pk"), counted[1].alias("p"))
     rows = people.agg(F.count_if(F.col("problem").isNull()).alias("n"), F.count("problem").alias("bad"))
-    return totals.crossJoin(rows).select(F.coalesce((F.col("k") == 1) & (F.col("t") == F.col("n")) & (F.col("bad") == 0), F.lit(False)).alias("complete"))  # two single rows
+    sound = (F.col("k") == 1) & (F.col("t") == F.col("n")) & (F.col("bad") == 0) & (F.col("pk") == 1) & (F.col("p") == F.col("seen"))
+    return totals.crossJoin(rows).select(F.coalesce(sound, F.lit(False)).alias("complete"))  # two single rows

@@ -53,7 +53,7 @@ def test_works_and_selection(spark):
     papers = spark.createDataFrame(rows, PAPERS)
     works = {(r.author_id, r.external_id): r for r in dedupe.representatives(papers).collect()}
     assert set(works) == {("a", "2"), ("a", "3"), ("a", "4"), ("b", "1")}
-    assert works["a", "2"].provider_ids == ["p:1", "q:2", "q:9"] and works["a", "2"].n_records == 3
+    assert works["a", "2"].provider_ids == {"p": ["1"], "q": ["2", "9"]} and works["a", "2"].n_records == 3
     chosen = [(r.external_id, r.tier, r.place) for r in dedupe.select_recent(papers, 2025).filter("author_id = 'a'").orderBy("place").collect()]
     assert chosen == [("9", 1, 1), ("2", 1, 2), ("1", 2, 3)]
     counts = dedupe.selection_counts(papers, 2025, most=1).filter("author_id = 'a'").first()

@@ -32,6 +32,48 @@ def test_profile_and_text(spark):
     assert spark.createDataFrame([(body,)], "b string").select(landing.plain_text(F.col("b")).alias("t")).first().t.endswith("Lab")
 
 
+def test_crawls_and_audit(spark):
+    listing = [("https://x.org/1", PAGE.format(end='<a class="pagination-next" aria-disabled="true"></a>').replace('<article class="entity"><p>nameless</p></article>', '<article class="entity"><h2><a href="https://y.org/p">Cy</a></h2></article>'))]
+    parsed = landing.listings(spark.createDataFrame(listing, "url string, body string"))
+    r = landing.audit(parsed, "x.org").first()
+    assert (r.n_pages, r.n_errors, r.n_listed, r.n_linked, r.n_unlinked, r.n_repeated, r.n_foreign, r.has_cycle) == (1, 0, 3, 2, 1, 0, 1, False)
+    page = '<h1>Ann B. Cole</h1><i class="publication-title">On Rivers</i><a data-identifier="orcid" href="https://o.org/1">o</a><a class="lab-link" href="/l">The Lab</a>'
+    got = {r.name: r for r in landing.with_profiles(parsed, spark.createDataFrame([("https://x.org/p/7", page)], "url string, body string"), home="Home").collect()}
+    assert set(got) == {"Ann B. Cole", "Bob", "Cy"} and got["Cy"].profile_error and not got["Bob"].profile_error and got["Ann B. Cole"].title == "Prof"
+    ann = got["Ann B. Cole"]
+    assert ann.known_titles == ["On Rivers"] and ann.identifiers == {"orcid": "https://o.org/1"} and ann.lab_text == "The Lab" and ann.affiliations[0].school == "Home" and ann.affiliations[0].department == "Rivers"
+    people = spark.createDataFrame([(1, "https://x.org/p/7", "A", None), (2, "https://x.org/b", "Bob", None), (3, "https://y.org/p", "Cy", None), (4, "https://x.org/z", "Z", "missing")], "person_id long, url string, name string, problem string")
+    found, outcome = landing.with_feed(parsed, people)
+    assert sorted(r.how for r in found.collect()) == ["name", "url", "url"] and outcome.first().complete is True
+    assert landing.with_feed(parsed, people.filter("person_id > 1"))[1].first().complete is False
+
+
+def test_paging_and_refusals(spark):
+    pages = spark.createDataFrame([("a", 1, '{"next": 10}'), ("a", 2, '{"next": 20}'), ("a", 3, "{}"), ("b", 1, '{"next": 10}'), ("b", 2, '{"next": 10}')], "author_id string, page int, body string")
+    assert {r.author_id: r.advances for r in landing.offsets_advance(pages).collect()} == {"a": True, "b": False}
+    answers = spark.createDataFrame([(200, "x"), (500, "y")], "status int, body string")
+    assert sorted((r.status, r.body) for r in landing.accepted(answers).collect()) == [(200, "x"), (500, None)]
+    with pytest.raises(Exception, match="refused"):
+        landing.accepted(spark.createDataFrame([(403, "x")], "status int, body string")).collect()
+    feed = spark.createDataFrame([(1, 1, 2, "[]")], "page int, total int, n_pages int, body string")
+    assert landing.feed_is_complete(feed, spark.createDataFrame([(1, None)], "person_id int, problem string")).first().complete is False
+
+
+def test_records_and_schemas(spark, tmp_path):
+    from skein.contracts import migrate
+    from skein.functions.records import envelope, with_entry
+
+    df = spark.createDataFrame([({"a": "1"}, "n"), (None, None)], "m map<string,string>, name string")
+    assert [r.m for r in df.select(with_entry(F.col("m"), "a", F.lit(2)).alias("m")).collect()] == [{"a": "2"}, {"a": "2"}]
+    assert json.loads(df.select(envelope(["name"], F.lit("s"), F.col("m")).alias("e")).first().e) == {"record": {"name": "n"}, "source": "s", "payload": {"a": "1"}}
+    store = Store(spark, f"file://{tmp_path}/store")
+    store.publish({"t": spark.createDataFrame([(1,)], "x int")})
+    assert migrate(store, {"t": "x long, y string", "u": "z int"}) == ["t"] and migrate(store, {"t": "x long, y string"}) == []
+    assert tuple(store.read("t").first()) == (1, None)
+    with pytest.raises(ValueError, match="doesn't have"):
+        migrate(store, {"t": "x long"})
+
+
 def test_json_sources(spark):
     paper = {"paperId": " p1 ", "title": "T", "year": 2020, "externalIds": {"DOI": "10.1/x"}, "authors": [{"name": " A "}, {"name": ""}, {}], "extra": 1}
     pages = [("a", 1, json.dumps({"data": [paper, {"paperId": "p2"}, {"paperId": "p3", "title": "U", "year": 1990}, {"paperId": "p4", "title": "V"}]})), ("a", 2, "broken")]

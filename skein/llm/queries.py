@@ -67,6 +67,19 @@ def p7_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split_items(texts, "text", ["source_table", "item_id"])
 
 
+def p7_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Per long text: its words, and whether its pieces fit, are numbered without gaps, follow each other with an overlap
+    of at most 50 words, and hold the whole text."""
+    pieces = p7_pieces(spark, d).select("source_table", "item_id", "piece_no", "first_word", "n_words").distinct()
+    order = Window.partitionBy("source_table", "item_id").orderBy("piece_no")
+    before = F.lag(F.col("first_word") + F.col("n_words")).over(order)
+    rows = pieces.withColumn("lap", F.coalesce(before - F.col("first_word"), F.lit(0)))
+    return rows.groupBy("source_table", "item_id").agg(
+        F.max(F.col("first_word") + F.col("n_words")).cast("long").alias("n_words"), (F.max("n_words") <= split.LIMIT).alias("fits"), (F.max("piece_no") == F.count("*")).alias("is_numbered"),
+        F.bool_and(F.col("lap").between(0, split.OVERLAP)).alias("overlaps_little"), (F.min("first_word") == 0).alias("holds_all"),
+    )
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leak.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -157,6 +170,10 @@ keyed as (
   from parts)
 select author_id, external_id from keyed
 qualify row_number() over (partition by author_id order by k desc, external_id desc) <= 10""",
+    "p7_checks": f"""
+select distinct source_table, item_id, n_words, true as fits, true as is_numbered, true as overlaps_little, true as holds_all from (
+  select source_table, item_id, len(regexp_extract_all(text, '[^{_SPACES}]+')) as n_words from (
+    select 'raw_faculty' as source_table, record_id as item_id, biography as text from raw_faculty union all select 'documents', doc_id, text from documents)) where n_words > 400""",
     "p7_found": f"""
 select distinct source_table, item_id from (
   select 'raw_faculty' as source_table, record_id as item_id, biography as text from raw_faculty

@@ -59,7 +59,7 @@ def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def attributes(entities: DataFrame) -> DataFrame:
-    """(side, id, kind, value, rarity) of entities (side, id, titles, texts, affiliations).
+    """(side, id, kind, value, rarity) of entities (side, id, titles, texts, affiliations); value is a hash.
 
     kinds: word, phrase (two neighbouring words in either order, both rare), title (the words of a whole title in
     alphabetical order) and unit (a segment of an affiliation). Misspelt words count as the word they stand for.
@@ -79,7 +79,8 @@ def attributes(entities: DataFrame) -> DataFrame:
     titles = known.filter("kind = 'title'").groupBy("side", "id", "text_no").agg(F.array_sort(F.collect_set("word")).alias("w")).filter(F.size("w") >= 3)  # the words of one title
     titles = titles.select("side", "id", F.lit("title").alias("kind"), F.concat_ws(" ", "w").alias("value"))
     units = raw.filter("kind = 'unit'").select("side", "id", "kind", F.col("word").alias("value"))
-    every = phrases.unionByName(words).unionByName(titles).unionByName(units).distinct()
+    # values are only ever compared, so a hash stands for each; the words of an entity count once before they move
+    every = phrases.unionByName(words).unionByName(titles).unionByName(units).withColumn("value", F.xxhash64("value")).distinct()
     counts = every.groupBy("kind", "value").agg(F.count("*").alias("df"))
     # values that only one side has, or one entity, link nothing
     shared = counts.filter("df > 1").select("kind", "value", F.log(F.lit(total) / F.col("df")).alias("rarity"))
@@ -105,7 +106,7 @@ def _candidates(names: DataFrame, titles: DataFrame) -> DataFrame:
     """
     initial = F.substring("letters", 1, 1).alias("i")
     by_surname = names.select("side", "id", "given", "letters", F.explode(F.split("surname", " ")).alias("block"), initial, F.lit("name").alias("by"))
-    by_title = names.join(titles, ["side", "id"]).select("side", "id", "given", "letters", F.col("value").alias("block"), initial, F.lit("title").alias("by"))
+    by_title = names.join(titles, ["side", "id"]).select("side", "id", "given", "letters", F.col("value").cast("string").alias("block"), initial, F.lit("title").alias("by"))
     rows = cut(by_surname.unionByName(by_title).filter("i <> ''").distinct())
     of = lambda k, key: rows.filter(F.col("side") == k).select("by", "block", "i", F.col("id").alias(key), F.col("given").alias(f"g_{key}"), F.col("letters").alias(f"l_{key}"))
     pairs = meet(of("a", "a"), of("b", "b"), ["by", "block", "i"], PIECE)

@@ -10,6 +10,7 @@ from skein.functions.text import drop_lines, labelled, sentences, token_count
 from skein.functions.vectors import usable
 from skein.operators import chunk, embed, report
 from skein.operators.state import cascade, preferred, symmetric_difference, violations
+from skein.plans.sql import narrow
 from skein.sources.tables import table
 
 DIMENSION = 768
@@ -177,7 +178,7 @@ _WHITE = "\\t-\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\
 
 
 def _clean(column: str) -> str:
-    return f"trim(regexp_replace(replace(nfc_normalize(coalesce({column}, '')), chr(8230), '...'), '[{_WHITE}]+', ' ', 'g'))"
+    return f"trim(regexp_replace({narrow(f"replace(nfc_normalize(coalesce({column}, '')), chr(8230), '...')")}, '[{_WHITE}]+', ' ', 'g'))"
 
 
 _HASH = f"sha256({_clean('title')} || chr(10) || {_clean('text')})"

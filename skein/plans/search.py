@@ -12,6 +12,7 @@ from skein.functions.text import snippet, terms
 from skein.functions.vectors import usable
 from skein.operators import evaluate, retrieval
 from skein.runtime import cut, join_small
+from skein.plans.sql import narrow
 from skein.sources.tables import table
 
 VERSION = "st-base@r5+fmt2"
@@ -102,7 +103,10 @@ def evidence(spark: SparkSession, d: str) -> DataFrame:
     return top.select("query_id", "doc_id", snippet(F.col("text"), terms(F.col("asked"), 4)).alias("passage"))
 
 
-_WORDS = "list_filter(string_split(trim(regexp_replace(replace(lower(strip_accents({})), chr(223), 'ss'), '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g')), ' '), lambda x: x <> '')"
+def _words(column: str) -> str:
+    """The words of a text, as far as DuckDB can fold them."""
+    return f"list_filter(string_split(trim(regexp_replace(replace(lower(strip_accents({narrow(column)})), chr(223), 'ss'), '[^\\p{{L}}\\p{{N}}_]+', ' ', 'g')), ' '), lambda x: x <> '')"
+
 
 
 _FOLDED = "trim(regexp_replace(replace(lower(strip_accents(owner_name)), chr(223), 'ss'), '[^\\p{L}\\p{N}_]+', ' ', 'g'))"
@@ -121,13 +125,13 @@ _DENSE = _top(
     50,
 )
 _POSTINGS = f"""
-  fields as (select doc_id, {_WORDS.format("coalesce(title, '')")} as a, {_WORDS.format("text")} as b from documents where is_active and trim(text) <> ''),
+  fields as (select doc_id, {_words("coalesce(title, '')")} as a, {_words("text")} as b from documents where is_active and trim(text) <> ''),
   posts as (select doc_id, len(a) * 2.5::double + len(b) as length, unnest(list_concat(list_transform(a, lambda x: {{{{'term': x, 'n': 2.5::double}}}}), list_transform(b, lambda x: {{{{'term': x, 'n': 1::double}}}}))) as x from fields),
   tf as (select x.term as term, doc_id, length, sum(x.n) as tf from posts group by all)""".replace("{{", "{").replace("}}", "}")
 _LEXICAL = _top(
     f"""
   with {_POSTINGS}, df as (select term, count(*) as df from tf group by 1), s as (select avg(length) as mean from (select distinct doc_id, length from tf)), n as (select count(*) as n from documents where is_active and trim(text) <> ''),
-  asked as (select distinct doc_id as query_id, unnest({_WORDS.format("title")}) as term from documents where doc_id % 100 = 0)
+  asked as (select distinct doc_id as query_id, unnest({_words("title")}) as term from documents where doc_id % 100 = 0)
   select query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))), 6) as score
   from asked join df using (term) join tf using (term), s, n group by 1, 2""",
     50,
@@ -172,7 +176,7 @@ SQL = {
     "dense": _DENSE,
     "lexical": _LEXICAL,
     "all_terms": f"""
-with {_POSTINGS}, asked as (select distinct t as query_id, unnest({_WORDS.format("t")}) as term from (select distinct unnest(topics) as t from author_candidates where author_id like '%00')),
+with {_POSTINGS}, asked as (select distinct t as query_id, unnest({_words("t")}) as term from (select distinct unnest(topics) as t from author_candidates where author_id like '%00')),
 need as (select query_id, count(*) as n from asked group by 1)
 select query_id, doc_id from (select query_id, doc_id, count(*) as have from asked join tf using (term) group by 1, 2) join need using (query_id) where have = n""",
     "fused": _FUSED,

@@ -1,15 +1,13 @@
-"""Most similar vectors for every vector, by collision counting within cells.
+"""Most similar vectors for every vector, exactly: no pair is left out.
 
-Every vector is projected on m random directions; each projection alone gives a sorted array. A query takes a window
-around its own projection in every array and counts, for each vector, in how many windows it lies. Vectors whose count
-reaches the collision threshold are verified by their cosine; where fewer than k are verified within the radius, all
-windows are widened by the ratio C (virtual rehashing: nothing is hashed again) and the count is taken anew.
-
-One-dimensional windows tell near vectors from far ones only by a constant factor, so counting collisions against the
-whole collection takes a number of steps that grows with the square of its size. The arrays are therefore kept per
-cell: a vector is stored in the cell of its nearest centre and queries the PROBES nearest cells. Centres have two levels,
-so that cells multiply with the collection: coarse centres, and residual centres that all coarse ones share, for what a
-coarse centre leaves of a vector. Both are fitted on a bounded sample; every vector is indexed.
+Unit vectors have a head, their part in the space in which a sample spreads most, and a tail, what the head leaves.
+The cosine of two vectors is at most the product of their heads and that of the lengths of their tails. A vector is stored
+in one cell, which bounds the heads and tails in it, and visits each cell of which the bound doesn't rule out that a vector
+in it reaches the floor; of two cells only one visits the other, since a pair is compared once and counts both ways.
+A vector beyond the bounds of its cell lies in a cell of its own kind and visits all cells that can't be ruled out.
+Within a cell the same bound, with more of the numbers in the head, tells which pairs are compared in full. Centres and
+bounds come from a sample, so they decide on the work alone, never on the result. Where no cell can be ruled out the work
+grows with the square of the collection. Without a floor all queries meet all vectors.
 
 Vectors travel as 16-bit numbers with a scale of their own, which changes a cosine by less than 1e-5.
 """
@@ -17,6 +15,7 @@ Vectors travel as 16-bit numbers with a scale of their own, which changes a cosi
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +30,15 @@ from skein.runtime import cut, is_small, join_small
 #: Vectors on which the centres of one version are fitted, at most.
 FIT_ROWS = 16_384
 CELL_ROWS, COARSE, FINE, PROBES = 150, 2048, 2048, 2
-#: Cells are compared in blocks of so many stored vectors and so many queries.
-BLOCK_STORED, BLOCK_QUERIES = 4096, 4096
-PROJECTIONS, RATIO = 64, math.sqrt(2)
+#: Cells are compared in blocks of about so many stored vectors and so many visitors.
+BLOCK_STORED, BLOCK_QUERIES = 16_384, 24_576
+#: Cells of a version and numbers of a head, at most; rows of a block that are compared at once.
+CELLS, HEAD, CHUNK = 64, 64, 512
+#: Shares of a cell's sample that its bounds may hold, and what comparing all vectors costs as much as: copies of each.
+WITHIN, COMPARED = (1.0, 0.99, 0.97, 0.9), 10
+#: Cosines are told by 32-bit products up to so much; bounds are wider by it, and what passes is computed with 64 bits.
+SLACK = 1e-5
+PROJECTIONS = 64
 
 
 def _spherical_means(rows: np.ndarray, cells: int, rounds: int = 8) -> np.ndarray:
@@ -184,51 +189,241 @@ class Arrays:
         return counts
 
 
-def _threshold(p: float) -> float:
-    """Collisions that a vector at the radius reaches but for 0.5 % of cases."""
-    return PROJECTIONS * p - 2.6 * math.sqrt(PROJECTIONS * p * (1 - p))
-
-
-def search_block(stored_ids: np.ndarray, stored: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, axes: np.ndarray, k: int, floor: float | None) -> list[tuple[int, int, float]]:
-    """(query, neighbour, similarity): up to k verified neighbours of each query among the stored vectors."""
-    out: list[tuple[int, int, float]] = []
-    arrays, p_queries = Arrays(stored @ axes), queries @ axes
-    last = 2.0 if floor is None else math.sqrt(max(2 - 2 * floor, 1e-6))
-    p_within = math.erf(1 / math.sqrt(2))  # a vector at the radius lies in a window of half width radius
-    for at in range(0, len(queries), 256):
-        left = np.arange(at, min(at + 256, len(queries)))
-        radius = last / RATIO if floor is not None else 0.45
-        while len(left):
-            final = radius >= last - 1e-9
-            if final and floor is None:  # every vector is within this radius: nothing is left out
-                q, x = (a.ravel() for a in np.meshgrid(left, np.arange(len(stored)), indexing="ij"))
+class _Space:
+    """Of one version: basis of the heads, and of each cell the middle of its heads, how far they lie from it at most,
+    the longest tail, and the numbers of its blocks. The last cell is that of the vectors beyond these bounds."""
+
+    def __init__(self, sample: np.ndarray, n: int, floor: float | None, every: int) -> None:
+        self.floor = floor
+        most = 1 if floor is None else max(1, min(n // CELL_ROWS, CELLS, len(sample) // 4))
+        self._bound(sample, most)
+        cells = len(self.middles)
+        home, h, tail = self._places(sample)
+        scale = n / max(len(sample), 1)
+        stored = np.bincount(home, minlength=cells + 1) * scale
+        visitors = np.append(self.visited(home, h, tail).sum(0), 0) * scale if floor is not None else np.array([n / every, 0])
+        self.blocks = np.maximum(1, np.ceil(stored / BLOCK_STORED)).astype(np.int64)
+        within = stored * (self.blocks - 1) / self.blocks / 2 if floor is not None else 0
+        self.shares = np.maximum(1, np.ceil((visitors + within) / BLOCK_QUERIES)).astype(np.int64)
+
+    def _bound(self, sample: np.ndarray, most: int) -> None:
+        """Sets the cells and bounds that cost the least, by the copies and comparisons of the sample."""
+        dimension = sample.shape[1]
+        self.basis, self.middles = np.zeros((dimension, 1), np.float32), np.zeros((1, 1), np.float32)
+        self.reach, self.tails = np.array([2.0]), np.array([2.0])
+        if most == 1:
+            return
+        values, vectors = np.linalg.eigh((sample.T @ sample).astype(np.float64))
+        values, vectors = np.maximum(values[::-1], 1e-9), vectors[:, ::-1]
+        head = 1 + int(np.argmax(values[1 : min(HEAD, dimension - 1)] / values[2 : min(HEAD, dimension - 1) + 1])) + 1 if dimension > 3 else dimension
+        best, least = (self.basis, self.middles, self.reach, self.tails), 1.0 + COMPARED
+        basis = np.ascontiguousarray(vectors[:, :head]).astype(np.float32)
+        for cells in sorted({min(most, head), min(most, 2 * head), most} - {1}):
+            self.basis = basis
+            h, tail = self._heads(sample)
+            self.middles = _means(h, cells)
+            home = self._nearest(h)
+            apart = np.linalg.norm(h - self.middles[home], axis=1)
+            share = np.bincount(home, minlength=cells) / len(home)
+            for within in WITHIN:
+                bound = lambda x: np.array([np.quantile(x[home == c], within) if share[c] else 0.0 for c in range(cells)])  # noqa: B023, E731
+                self.reach, self.tails = bound(apart), bound(tail)
+                visits = self._visits(h, tail)
+                beyond = (apart > self.reach[home]) | (tail > self.tails[home])
+                cost = 1 + np.where(beyond, visits.sum(1), visits.sum(1) / 2).mean() + COMPARED * ((visits @ share).mean() + beyond.mean() ** 2)
+                if cost < least:
+                    best, least = (self.basis, self.middles, self.reach, self.tails), cost
+        self.basis, self.middles, self.reach, self.tails = best
+
+    def _heads(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        h = units @ self.basis
+        return h, np.linalg.norm(units - h @ self.basis.T, axis=1)
+
+    def _nearest(self, h: np.ndarray) -> np.ndarray:
+        return (2 * h @ self.middles.T - (self.middles**2).sum(1)).argmax(1)
+
+    def _places(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(home cells, heads, lengths of tails)."""
+        h, tail = self._heads(units)
+        home = self._nearest(h)
+        beyond = (np.linalg.norm(h - self.middles[home], axis=1) > self.reach[home]) | (tail > self.tails[home])
+        return np.where(beyond, len(self.middles), home), h, tail
+
+    def _visits(self, h: np.ndarray, tail: np.ndarray) -> np.ndarray:
+        """(vectors, cells): whether a cell may hold a vector that reaches the floor."""
+        if self.floor is None:
+            return np.ones((len(h), len(self.middles)), bool)
+        return h @ self.middles.T + np.linalg.norm(h, axis=1, keepdims=True) * self.reach + tail[:, None] * self.tails >= self.floor - 10 * SLACK
+
+    def visited(self, home: np.ndarray, h: np.ndarray, tail: np.ndarray) -> np.ndarray:
+        """`_visits` without the home cells and with one direction for every pair of cells."""
+        cells = np.arange(len(self.middles))
+        return self._visits(h, tail) & (home[:, None] != cells) & (_goes(home[:, None], cells) | (home[:, None] == len(cells)))
+
+    def place(self, ids: np.ndarray, units: np.ndarray, asks: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(rows, cells, blocks, shares, whether stored): where each vector is stored and which blocks it visits."""
+        home, h, tail = self._places(units)
+        at = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        at ^= at >> np.uint64(29)
+        block, share = (at >> np.uint64(8)) % self.blocks.astype(np.uint64)[home], at >> np.uint64(40)
+        block = block.astype(np.int64)
+        visited = np.zeros((len(ids), 0), bool) if self.floor is None else self.visited(home, h, tail)
+        out: list[tuple[np.ndarray, int, int, np.ndarray, bool]] = []
+        for c in range(len(self.blocks)):
+            mine = np.flatnonzero(home == c)
+            others = np.flatnonzero(visited[:, c]) if c < visited.shape[1] else np.empty(0, np.int64)
+            if not len(mine) and not len(others):
+                continue
+            for s in range(self.blocks[c]):
+                stored = mine[block[mine] == s]
+                out += [(stored, c, s, np.full(len(stored), q), True) for q in range(self.shares[c])]
+                if self.floor is None:
+                    come = mine[asks[mine]]  # its own block too
+                else:
+                    come = np.concatenate([others, mine[(block[mine] != s) & _goes(block[mine], s)]])
+                out.append((come, c, s, (share[come] % np.uint64(self.shares[c])).astype(np.int64), False))
+        rows, cells, blocks, shares, store = zip(*out, strict=True)
+        spread_out = lambda values, kind: np.repeat(np.array(values, kind), [len(r) for r in rows])
+        return np.concatenate(rows), spread_out(cells, np.int64), spread_out(blocks, np.int32), np.concatenate(shares).astype(np.int32), spread_out(store, bool)
+
+
+def _means(rows: np.ndarray, cells: int, rounds: int = 8) -> np.ndarray:
+    """Centres of rows; they start from rows that lie far from those before, so that no group goes without one."""
+    rnd = np.random.default_rng(11)
+    chosen = [int(rnd.integers(len(rows)))]
+    apart = ((rows - rows[chosen[0]]) ** 2).sum(1)
+    while len(chosen) < cells and apart.sum() > 0:
+        drawn = rnd.choice(len(rows), 8, p=apart / apart.sum())
+        left = [np.minimum(apart, ((rows - rows[d]) ** 2).sum(1)) for d in drawn]
+        better = min(range(8), key=lambda i: left[i].sum())
+        chosen.append(int(drawn[better]))
+        apart = left[better]
+    centres = rows[np.resize(chosen, cells)].copy()
+    for _ in range(rounds):
+        nearest = (2 * rows @ centres.T - (centres**2).sum(1)).argmax(1)
+        centres = np.stack([rows[nearest == c].mean(0) if (nearest == c).any() else m for c, m in enumerate(centres)])
+    return centres
+
+
+def _goes(a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
+    """Whether a visits b: of two different numbers just one visits the other, and each visits about half of all."""
+    return ((a + b) % 2 == 1) == (a < b)
+
+
+def _spaces(units: DataFrame, counts: dict[str, int], dimension: int, floor: float | None, every: int) -> dict[str, _Space]:
+    """The space of every version; one task fits one version, on about FIT_ROWS of its vectors, chosen by a hash of the id."""
+    if floor is None:  # nothing to fit
+        return {v: _Space(np.zeros((1, dimension), np.float32), n, floor, every) for v, n in counts.items()}
+    share = F.lit(0.0)
+    for version, n in counts.items():
+        share = F.when(F.col("version") == version, min(1.0, FIT_ROWS / max(n, 1))).otherwise(share)
+    picked = units.filter(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1_000_000)) < share * 1_000_000).select("version", "unit")
+
+    def one(group: pd.DataFrame) -> pd.DataFrame:
+        version = group["version"].iloc[0]
+        space = _Space(_unpack(group["unit"].tolist(), dimension), counts[version], floor, every)
+        return pd.DataFrame({"version": [version], "space": [pickle.dumps(space)]})
+
+    found = picked.groupBy("version").applyInPandas(one, "version string, space binary").toLocalIterator()  # a basis and CELLS bounds each
+    spaces = {r["version"]: pickle.loads(r["space"]) for r in found}  # noqa: S301  made by the task above
+    for version, n in counts.items():  # a tiny version may have no sampled row
+        if version not in spaces:
+            spaces[version] = _Space(np.zeros((1, dimension), np.float32), n, floor, every)
+    return spaces
+
+
+def _first(q: np.ndarray, x: np.ndarray, sims: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each query the k most similar, ties to the smaller id."""
+    order = np.lexsort((ids[x], -sims, q))
+    q, x, sims = q[order], x[order], sims[order]
+    new = np.r_[True, q[1:] != q[:-1]] if len(q) else np.empty(0, bool)
+    place = np.arange(len(q)) - np.maximum.accumulate(np.where(new, np.arange(len(q)), 0)) if len(q) else np.empty(0, int)
+    return q[place < k], x[place < k], sims[place < k]
+
+
+class _Filter:
+    """Bounds of cosines by heads, some of the other numbers, and the lengths of what is left; exact where all are taken."""
+
+    def __init__(self, units: np.ndarray, n_stored: int, basis: np.ndarray, floor: float | None) -> None:
+        self.units, self.basis, self.taken = units, basis, units.shape[1]
+        if floor is not None and n_stored:
+            some = np.random.default_rng(3)
+            rows, columns = (units[some.integers(0, n, 256)] for n in (len(units), n_stored))
+            for taken in range(0, units.shape[1] * 5 // 8, 32):
+                if (self._features(rows, taken) @ self._features(columns, taken).T >= floor - SLACK).mean() < 0.002:
+                    self.taken = taken
+                    break
+        self.exact = self.taken == units.shape[1]
+        self.stored = units[:n_stored] if self.exact else np.concatenate([self._features(units[a : min(a + 4096, n_stored)], self.taken) for a in range(0, n_stored, 4096)])
+
+    def _features(self, units: np.ndarray, taken: int) -> np.ndarray:
+        h = units @ self.basis
+        rest = units - h @ self.basis.T
+        return np.hstack([h, rest[:, :taken], np.linalg.norm(rest[:, taken:], axis=1, keepdims=True)])
+
+    def scores(self, a: int, b: int, start: int) -> np.ndarray:
+        rows = self.units[a:b] if self.exact else self._features(self.units[a:b], self.taken)
+        return rows @ self.stored[start:].T
+
+
+def search_block(ids: np.ndarray, units: np.ndarray, n_stored: int, inner: bool, asks: np.ndarray, k: int, floor: float | None, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(queries, neighbours, similarities): up to k of each query that asks, from the pairs of this block.
+
+    The first n_stored vectors are the stored ones, the others visit them; with `inner` the stored ones meet each other too.
+    With a floor every pair counts both ways; without one only visitors ask.
+    """
+    limit = -2.0 if floor is None else floor
+    found, held = [(np.empty(0, int), np.empty(0, int), np.empty(0))], 0
+    bounds = _Filter(units, n_stored, basis, floor)
+    at = 0 if inner and floor is not None else n_stored
+    while at < len(units) and n_stored:
+        end = min(at + CHUNK, len(units) if at >= n_stored else n_stored)
+        start = at if at < n_stored else 0
+        scores = bounds.scores(at, end, start)
+        if not bounds.exact and np.count_nonzero(scores >= limit - SLACK) > 0.01 * scores.size:
+            scores, tight = units[at:end] @ units[start:n_stored].T, True  # too many to look at one by one
+        else:
+            tight = bounds.exact
+        if start == at and at < n_stored:
+            scores[np.tril_indices(end - at, 0, scores.shape[1])] = -9  # each pair once
+        keep = scores >= limit - SLACK
+        if tight and np.count_nonzero(keep) > 4 * k * (end - at):
+            # only what can be among the k first of its row or its column here
+            near = np.zeros_like(keep)
+            extra = k + 1 if floor is None else k  # a vector may meet itself
+            if scores.shape[1] > extra:
+                near |= scores >= -np.partition(-scores, extra - 1, axis=1)[:, extra - 1 : extra] - 2 * SLACK
             else:
-                counts = arrays.collisions(p_queries[left], radius)
-                rows, x = np.nonzero(counts >= _threshold(p_within))
-                q = left[rows]
-            other = stored_ids[x] != query_ids[q]
-            q, x = q[other], x[other]
-            sims = np.concatenate([np.einsum("ij,ij->i", queries[q[a : a + 8192]], stored[x[a : a + 8192]], dtype=np.float64) for a in range(0, len(q), 8192)]) if len(q) else np.empty(0)
-            # done: queries with k verified within the radius, and all of them at the last one
-            near = np.bincount(q[sims >= 1 - radius * radius / 2], minlength=len(queries))[left] >= k
-            done = left if final else left[near]
-            take = np.isin(q, done) & (sims >= (floor if floor is not None else -2))
-            q, x, sims = q[take], x[take], sims[take]
-            order = np.lexsort((stored_ids[x], -sims, q))
-            q, x, sims = q[order], x[order], sims[order]
-            first = np.r_[True, q[1:] != q[:-1]] if len(q) else np.empty(0, bool)
-            place = np.arange(len(q)) - np.maximum.accumulate(np.where(first, np.arange(len(q)), 0)) if len(q) else np.empty(0, int)
-            out += zip(query_ids[q[place < k]].tolist(), stored_ids[x[place < k]].tolist(), sims[place < k].tolist(), strict=True)
-            left = np.empty(0, int) if final else left[~near]
-            radius = min(radius * RATIO, last)
-    return out
+                near[:] = True
+            if floor is not None:
+                near |= scores >= (-np.partition(-scores, k - 1, axis=0)[k - 1] if len(scores) > k else -9) - 2 * SLACK
+            keep &= near
+        r, x = np.nonzero(keep)
+        r, x = r + at, x + start
+        other = ids[r] != ids[x]
+        r, x = r[other], x[other]
+        sims = np.concatenate([np.einsum("ij,ij->i", units[r[a : a + 8192]], units[x[a : a + 8192]], dtype=np.float64) for a in range(0, len(r), 8192)]) if len(r) else np.empty(0)
+        good = sims >= limit
+        r, x, sims = r[good], x[good], sims[good]
+        if floor is not None:
+            r, x, sims = np.r_[r, x], np.r_[x, r], np.r_[sims, sims]
+            r, x, sims = r[asks[r]], x[asks[r]], sims[asks[r]]
+        found.append((r, x, sims))
+        held += len(r)
+        if held > 2_000_000:
+            found = [_first(*(np.concatenate(c) for c in zip(*found, strict=True)), ids, k)]
+            held = 0
+        at = end
+    q, x, sims = _first(*(np.concatenate(c) for c in zip(*found, strict=True)), ids, k)
+    return ids[q], ids[x], sims
 
 
 def similar_vectors(vectors: DataFrame, k: int = 10, floor: float | None = None, dimension: int = 768, every: int = 1, probes: int = PROBES) -> DataFrame:
     """(version, query_id, neighbour_id, similarity): the k most similar vectors of each query, among all of its version.
 
     vectors: (version, id, at, v). With `every` > 1 the queries are the ids divisible by it; all vectors are indexed.
-    `floor` leaves out neighbours of a lower similarity, and lets the search stop at that radius. Vectors that are
+    `floor` leaves out neighbours of a lower similarity, and lets cells be ruled out. The search is exact, so `probes`, the
+    number of cells that a search by nearest cells would look at, changes nothing. Vectors that are
     null, of a wrong length, all zero or not finite are left out; an id with several vectors counts with the latest
     (of equal times: one of them, by hash). Null ids or versions are left out. Ties go to the smaller id. Copies of a
     vector are indexed once; each of them gets its own k neighbours, copies first.
@@ -248,56 +443,40 @@ def similar_vectors(vectors: DataFrame, k: int = 10, floor: float | None = None,
     if not is_small(out, 0):
         dropped = F.broadcast(out) if is_small(out) else out  # keys that are all but unique need no salt
         units = units.join(dropped, ["version", "id", "direction"], "left_anti")
-    units = units.select("version", "id", "unit")  # repeated rows are alike; they share a cell and are dropped there
+    units = units.select("version", "id", "unit", (F.col("id") % every == 0).alias("asks"))  # repeated rows are alike; they share a cell and are dropped there
     counts = {r["version"]: r["n"] for r in chosen.groupBy("version").agg(F.count("*").alias("n")).toLocalIterator()}
     spark = vectors.sparkSession
     if not counts:
         return spark.createDataFrame([], "version string, query_id long, neighbour_id long, similarity double")
-    model = spark.sparkContext.broadcast(_fit(units, counts, dimension))
+    model = spark.sparkContext.broadcast(_spaces(units, counts, dimension, floor, every))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            matrix = _unpack(batch.column("unit").to_pylist(), dimension)
-            versions = np.array(batch.column("version").to_pylist())
-            rows, cells, homes = [], [], []
-            for v in np.unique(versions):
-                mine = np.flatnonzero(versions == v)
-                near = model.value.nearest(v, matrix[mine], probes)
-                for j in range(near.shape[1]):
-                    rows.append(mine)
-                    cells.append(near[:, j])
-                    homes.append(np.full(len(mine), j == 0))
-            index = np.concatenate(rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("version").take(pa.array(index)), batch.column("id").take(pa.array(index)), batch.column("unit").take(pa.array(index)), pa.array(np.concatenate(cells).astype(np.int64)), pa.array(np.concatenate(homes))],
-                names=["version", "id", "unit", "cell", "home"],
-            )
-
-    placed = units.mapInArrow(place, "version string, id long, unit binary, cell long, home boolean")
-    asks = F.col("id") % every == 0 if every > 1 else F.lit(True)
-    # cells beyond a block are cut into blocks of stored vectors and of queries; each pair of blocks meets in one task
-    large = _large_cells(units, model, probes, dimension)
-    rows = placed.withColumn("asks", asks).filter("home or asks")
-    if large is not None:
-        rows = join_small(rows, large, ["version", "cell"], "left").na.fill(1, ["s_n", "q_n"])
-        s_of, q_of = F.pmod(F.xxhash64("id"), F.col("s_n")).cast("int"), F.pmod(F.xxhash64("id"), F.col("q_n")).cast("int")
-        everywhere = lambda n: F.sequence(F.lit(0), (F.col(n) - 1).cast("int"))
-        stored = F.when(F.col("home"), F.transform(everywhere("q_n"), lambda q: F.struct(s_of.alias("s"), q.alias("q"), F.lit(True).alias("store"), (F.col("asks") & (q == q_of)).alias("ask")))).otherwise(F.array())
-        asking = F.when(F.col("asks"), F.filter(F.transform(everywhere("s_n"), lambda s: F.struct(s.alias("s"), q_of.alias("q"), F.lit(False).alias("store"), F.lit(True).alias("ask"))), lambda r: ~F.col("home") | (r["s"] != s_of))).otherwise(F.array())
-        rows = rows.select("version", "cell", "id", "unit", F.explode(F.concat(stored, asking)).alias("b")).select("version", "cell", "id", "unit", "b.s", "b.q", "b.store", "b.ask")
-    else:
-        rows = rows.select("version", "cell", "id", "unit", F.lit(0).alias("s"), F.lit(0).alias("q"), F.col("home").alias("store"), F.col("asks").alias("ask"))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                batch = whole.slice(at, 4096)
+                matrix = _unpack(batch.column("unit").to_pylist(), dimension)
+                ids, versions, asks = batch.column("id").to_numpy(), np.array(batch.column("version").to_pylist()), np.array(batch.column("asks").to_pylist(), bool)
+                for v in np.unique(versions):
+                    mine = np.flatnonzero(versions == v)
+                    rows, cells, blocks, shares, store = model.value[v].place(ids[mine], matrix[mine], asks[mine])
+                    for a in range(0, len(rows), 16_384):
+                        index, part = pa.array(mine[rows[a : a + 16_384]]), slice(a, a + 16_384)
+                        yield pa.RecordBatch.from_arrays(
+                            [*(batch.column(c).take(index) for c in ("version", "id", "unit", "asks")), pa.array(cells[part]), pa.array(blocks[part]), pa.array(shares[part]), pa.array(store[part])],
+                            names=["version", "id", "unit", "asks", "cell", "s", "q", "store"],
+                        )
+
+    rows = units.mapInArrow(place, "version string, id long, unit binary, asks boolean, cell long, s int, q int, store boolean")
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
-        units_ = _unpack(table.column("unit").to_pylist(), dimension)
-        ids = table.column("id").to_numpy()
-        store, ask = (np.array(table.column(c).to_pylist(), bool) for c in ("store", "ask"))
-        stored, asking = (np.flatnonzero(m)[np.unique(ids[m], return_index=True)[1]] for m in (store, ask))
-        hits = search_block(ids[stored], units_[stored], ids[asking], units_[asking], model.value.axes, k, floor) if len(stored) and len(asking) else []
-        q, x, s = zip(*hits, strict=True) if hits else ((), (), ())
-        return pa.table({"version": pa.array([key[0].as_py()] * len(q), pa.string()), "query_id": pa.array(q, pa.int64()), "neighbour_id": pa.array(x, pa.int64()), "similarity": pa.array(s, pa.float64())})
+        ids, store, asks = table.column("id").to_numpy(), *(np.array(table.column(c).to_pylist(), bool) for c in ("store", "asks"))
+        # repeated rows once, the stored ones first
+        chosen = [np.flatnonzero(m)[np.unique(ids[m], return_index=True)[1]] for m in (store, ~store)]
+        both = np.concatenate(chosen)
+        units_ = _unpack(table.column("unit").take(pa.array(both)).to_pylist(), dimension)
+        version, ids = key[0].as_py(), ids[both]
+        q, x, s = search_block(ids, units_, len(chosen[0]), key[3].as_py() == 0, asks[both], k, floor, model.value[version].basis)
+        return pa.table({"version": pa.array([version] * len(q), pa.string()), "query_id": pa.array(q, pa.int64()), "neighbour_id": pa.array(x, pa.int64()), "similarity": pa.array(s, pa.float64())})
 
     hits = rows.groupBy("version", "cell", "s", "q").applyInArrow(compare, "version string, query_id long, neighbour_id long, similarity double")
     best = Window.partitionBy("version", "query_id").orderBy(F.col("similarity").desc(), "neighbour_id")
@@ -307,29 +486,6 @@ def similar_vectors(vectors: DataFrame, k: int = 10, floor: float | None = None,
     return _with_copies(cut(ranked), copies, k, every)
 
 
-def _large_cells(units: DataFrame, model, probes: int, dimension: int) -> DataFrame | None:  # noqa: ANN001
-    """(version, cell, s_n, q_n) of the cells that need more than one block, or None; counts all vectors."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[str, int], list[int]] = {}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            matrix = _unpack(batch.column("unit").to_pylist(), dimension)
-            versions = np.array(batch.column("version").to_pylist())
-            for v in np.unique(versions):
-                near = model.value.nearest(v, matrix[versions == v], probes)
-                for j, cells in enumerate((near[:, 0], near.ravel())):
-                    for c, m in zip(*np.unique(cells, return_counts=True), strict=True):
-                        sums.setdefault((v, int(c)), [0, 0])[j] += int(m)
-        keys = list(sums)
-        yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in keys], pa.string()), pa.array([c for _, c in keys], pa.int64()), pa.array([sums[x][0] for x in keys], pa.int64()), pa.array([sums[x][1] for x in keys], pa.int64())], names=["version", "cell", "st", "qu"])
-
-    totals = units.mapInArrow(count, "version string, cell long, st long, qu long").groupBy("version", "cell").agg(F.sum("st").alias("st"), F.sum("qu").alias("qu"))
-    large = cut(totals.filter((F.col("st") > BLOCK_STORED) | (F.col("qu") > BLOCK_QUERIES)).select("version", "cell", F.ceil(F.col("st") / BLOCK_STORED).cast("int").alias("s_n"), F.ceil(F.col("qu") / BLOCK_QUERIES).cast("int").alias("q_n")))
-    return None if is_small(large, 0) else large
-
-
 def _with_copies(ranked: DataFrame, copies: DataFrame, k: int, every: int) -> DataFrame:
     """Neighbours of every member of a group of copies, from those of the vector that stands for it.
 

@@ -89,6 +89,27 @@ def test_residual_centres_multiply_the_cells(spark, monkeypatch):
     assert seen[1] < 2 * seen[0]  # four times the vectors, but more cells and not larger ones
 
 
+def test_neighbours_leave_out_no_pair(spark, monkeypatch):
+    """Groups that cells can tell apart and vectors of no group, in several cells and blocks, fitted on few."""
+    rnd = np.random.default_rng(7)
+    n, dimension, floor = 1500, 48, 0.8
+    topics = 3 * np.linalg.qr(rnd.standard_normal((dimension, 6)))[0].T
+    near = rnd.standard_normal((n // 3, dimension)) * 0.45
+    x = topics[rnd.integers(0, 6, n // 3)][np.arange(n) % (n // 3)] + near[np.arange(n) % (n // 3)] + 0.2 * rnd.standard_normal((n, dimension))
+    x[::50] = rnd.standard_normal((n // 50, dimension)) * 2
+    for i in range(0, 200, 50):
+        x[i] *= 1e3  # length doesn't count
+    for vectors in (x.astype(np.float32),):
+        truth = {(q, i) for q, near_ones in brute(vectors, 4, floor).items() for i in near_ones}
+        assert truth
+        df = table(spark, [("m", i, None, v.tolist()) for i, v in enumerate(vectors)])
+        with monkeypatch.context() as m:
+            for name, value in (("FIT_ROWS", 300), ("CELL_ROWS", 60), ("BLOCK_STORED", 60), ("BLOCK_QUERIES", 50)):
+                m.setattr(neighbours, name, value)
+            got = neighbours.similar_vectors(df, 4, floor, dimension=dimension).collect()
+        assert {(r.query_id, r.neighbour_id) for r in got} == truth and len(got) == len(truth)
+
+
 def test_packed_vectors_keep_their_cosines():
     rnd = np.random.default_rng(3)
     x = rnd.standard_normal((200, 768))

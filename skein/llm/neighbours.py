@@ -9,7 +9,7 @@ Within a cell the same bound, with more of the numbers in the head, tells which
 bounds come from a sample, so they decide on the work alone, never on the result. Where no cell can be ruled out the work
 grows with the square of the collection. Without a floor all queries meet all vectors.
 
-Vectors travel as 16-bit numbers with a scale of their own, which changes a cosine by less than 1e-5.
+Vectors travel as 24-bit numbers with a scale of their own, which changes a cosine by less than 1e-7.
 """
 
 from __future__ import annotations
@@ -91,18 +91,24 @@ def _units(vectors: DataFrame, dimension: int) -> DataFrame:
 
 
 def _marks(units: np.ndarray) -> list[int]:
-    return [xxhash.xxh64_intdigest(r.tobytes()) >> 1 for r in np.round(units * 1e4).astype(np.int16)]
+    return [xxhash.xxh64_intdigest(r.tobytes()) >> 1 for r in np.round(units * 1e7).astype(np.int32)]
 
 
 def _pack(units: np.ndarray) -> list[bytes]:
-    """Vectors as 16-bit numbers; their scale is that of length one, so it isn't kept."""
-    top = np.abs(units).max(axis=1, keepdims=True)
-    return [r.tobytes() for r in np.round(units / np.maximum(top, 1e-12) * 32767).astype(np.int16)]
+    """Vectors as 16-bit numbers and 8 bits of what these leave; their scale is that of length one, so it isn't kept."""
+    scaled = units / np.maximum(np.abs(units).max(axis=1, keepdims=True), 1e-12) * np.float64(32767)
+    high = np.round(scaled)
+    low = np.round((scaled - high) * 254).astype(np.int8)
+    return [h.tobytes() + x.tobytes() for h, x in zip(high.astype(np.int16), low, strict=True)]
 
 
 def _unpack(packed: list[bytes], dimension: int) -> np.ndarray:
-    values = np.frombuffer(b"".join(packed), np.int16).reshape(len(packed), dimension).astype(np.float32)
-    return values / np.maximum(np.linalg.norm(values, axis=1, keepdims=True), 1e-12)
+    out = np.empty((len(packed), dimension), np.float32)
+    for at in range(0, len(packed), 4096):
+        raw = np.frombuffer(b"".join(packed[at : at + 4096]), np.uint8).reshape(-1, 3 * dimension)
+        values = np.ascontiguousarray(raw[:, : 2 * dimension]).view(np.int16) + raw[:, 2 * dimension :].view(np.int8) / 254
+        out[at : at + 4096] = values / np.maximum(np.linalg.norm(values, axis=1, keepdims=True), 1e-12)
+    return out
 
 
 class _Cells:
@@ -433,7 +439,7 @@ def similar_vectors(vectors: DataFrame, k: int = 10, floor: float | None = None,
     found = cut(_directions(usable, dimension))
     latest = found.groupBy("version", "id").agg(F.max(F.struct("at", "direction"))["direction"].alias("direction"))
     # who stands for whom: only directions that several ids share
-    shared = latest.groupBy("version", "direction").agg(F.count("*").alias("n"), F.min("id").alias("stands"))
+    shared = latest.groupBy("version", "direction").agg(F.count("*").alias("n"), F.min("id").alias("stands"), F.bool_or(F.col("id") % every == 0).alias("asked"))
     chosen = cut(latest.join(shared.filter("n > 1").select("version", "direction", "stands"), ["version", "direction"], "left"))
     copies = chosen.filter("stands is not null").select("version", "stands", "id")
     # rows to leave out are few as a rule; they are told by short keys, and the vectors are read again, not written
@@ -444,6 +450,11 @@ def similar_vectors(vectors: DataFrame, k: int = 10, floor: float | None = None,
         dropped = F.broadcast(out) if is_small(out) else out  # keys that are all but unique need no salt
         units = units.join(dropped, ["version", "id", "direction"], "left_anti")
     units = units.select("version", "id", "unit", (F.col("id") % every == 0).alias("asks"))  # repeated rows are alike; they share a cell and are dropped there
+    if every > 1:
+        # who stands for copies asks if one of them does
+        also = cut(shared.filter(f"n > 1 and asked and stands % {every} != 0").select("version", F.col("stands").alias("id"), F.lit(True).alias("for_copies")))
+        if not is_small(also, 0):
+            units = join_small(units, also, ["version", "id"], "left", salts=1).select("version", "id", "unit", (F.col("asks") | F.col("for_copies").isNotNull()).alias("asks"))
     counts = {r["version"]: r["n"] for r in chosen.groupBy("version").agg(F.count("*").alias("n")).toLocalIterator()}
     spark = vectors.sparkSession
     if not counts:

@@ -90,7 +90,8 @@ def test_residual_centres_multiply_the_cells(spark, monkeypatch):
 
 
 def test_neighbours_leave_out_no_pair(spark, monkeypatch):
-    """Groups that cells can tell apart and vectors of no group, in several cells and blocks, fitted on few."""
+    """Groups that cells can tell apart and vectors of no group, in several cells and blocks, fitted on few; pairs close
+    to the floor."""
     rnd = np.random.default_rng(7)
     n, dimension, floor = 1500, 48, 0.8
     topics = 3 * np.linalg.qr(rnd.standard_normal((dimension, 6)))[0].T
@@ -99,7 +100,10 @@ def test_neighbours_leave_out_no_pair(spark, monkeypatch):
     x[::50] = rnd.standard_normal((n // 50, dimension)) * 2
     for i in range(0, 200, 50):
         x[i] *= 1e3  # length doesn't count
-    for vectors in (x.astype(np.float32),):
+    apart = np.linalg.qr(rnd.standard_normal((dimension, dimension)))[0]
+    cosine = floor + 1e-6
+    edge = [v for a, b in zip(apart[::2], apart[1::2], strict=True) for v in (a, cosine * a + np.sqrt(1 - cosine**2) * b)]
+    for vectors in (x.astype(np.float32), np.array(edge, np.float32)):
         truth = {(q, i) for q, near_ones in brute(vectors, 4, floor).items() for i in near_ones}
         assert truth
         df = table(spark, [("m", i, None, v.tolist()) for i, v in enumerate(vectors)])
@@ -110,6 +114,14 @@ def test_neighbours_leave_out_no_pair(spark, monkeypatch):
         assert {(r.query_id, r.neighbour_id) for r in got} == truth and len(got) == len(truth)
 
 
+def test_neighbours_without_a_floor_are_all_found(spark, monkeypatch):
+    x = clusters(500)
+    x[40] = x[7]  # 7 stands for 40 and doesn't ask itself
+    monkeypatch.setattr(neighbours, "BLOCK_STORED", 120)
+    got = neighbours.similar_vectors(table(spark, [("m", i, None, v.tolist()) for i, v in enumerate(x)]), 5, dimension=16, every=10).collect()
+    assert {(r.query_id, r.neighbour_id) for r in got} == {(q, i) for q, near in brute(x, 5).items() if q % 10 == 0 for i in near}
+
+
 def test_packed_vectors_keep_their_cosines():
     rnd = np.random.default_rng(3)
     x = rnd.standard_normal((200, 768))

@@ -72,6 +72,7 @@ _BLOCK = frozenset("address article aside blockquote body center dd details div
 _AND = chr(0xFDD0)
 _SKIPPED = frozenset("script style title".split())
 _CONTAINERS = ("nav", "header", "footer", "aside", "form")
+_SECTION = re.compile(r"<!\[(?:temp|cdata|ignore|include|rcdata|if|else|endif)(?![-_.a-z0-9])", re.IGNORECASE)
 #: Tags that an opening tag closes, as long as no tag of the second set lies between.
 _ENDS = {"li": (("li",), ("ul", "ol")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table"))}
 
@@ -166,14 +167,15 @@ class _Page(HTMLParser):
         if not self._hidden():
             self.buffer.append(data)
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """A section of a kind that the parser doesn't know is a comment up to its >, as in browsers, and no error."""
+        return super().parse_marked_section(i, report) if _SECTION.match(self.rawdata, i) else self.parse_bogus_comment(i, report)
+
 
 def read_html(text: str) -> list[Block]:
     page = _Page()
-    try:
-        page.feed(text.replace("&", _AND))  # references are decoded later, and only those with a semicolon
-        page.close()
-    except Exception:  # noqa: BLE001  what the parser can't read any further stays as it was read so far
-        pass
+    page.feed(text.replace("&", _AND))  # references are decoded later, and only those with a semicolon
+    page.close()
     page._flush()
     for b in page.blocks:
         if b.kind != "formula":

@@ -127,6 +127,23 @@ def test_broken_markup_is_survived():
     assert markup.decode("&#233;&eacute;&amp &unknown; &#xD800;") == "éé&amp &unknown; &#xD800;"
 
 
+@pytest.mark.parametrize("section", ["<![foo[x]]>", "<![ x>", "<![>", "<![1 x]>"])
+def test_unknown_sections_end_no_page(spark, section):
+    page = f"<h1>A</h1><p>before</p>{section}<ul><li>one</li><li>two</li></ul><pre>code</pre>"
+    assert elements(page) == [("heading", "A"), ("list_item", "one"), ("list_item", "two"), ("code", "code")]
+    got = markup.clean_documents(spark.createDataFrame([(1, None, page)], "key long, host string, text string")).first()
+    assert len(got.elements) == 4 and "before" in got.text_clean and got.text_clean.endswith("```\ncode\n```")
+
+
+def test_a_failing_parser_is_no_result(monkeypatch):
+    def fail(self, tag, attrs):
+        raise ValueError(tag)
+
+    monkeypatch.setattr(markup._Page, "handle_starttag", fail)
+    with pytest.raises(ValueError, match="h1"):
+        markup.read_html("<h1>A</h1>")
+
+
 def test_long_texts_take_linear_time():
     import time
 

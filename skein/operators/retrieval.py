@@ -95,22 +95,149 @@ def _hits(asked: DataFrame, table: DataFrame) -> DataFrame:
     return join_small(table, asked, ["term"])
 
 
-def bm25_top_k(queries: DataFrame, corpus: DataFrame, k: int = 50, decimals: int = 6, table: DataFrame | None = None) -> DataFrame:
+#: Documents that a task scores at once. It bounds memory, not the result.
+CHUNK_DOCUMENTS = 32_768
+
+
+def bm25_top_k(queries: DataFrame, corpus: DataFrame, k: int = 50, decimals: int = 6, block_rows: int = 16_384) -> DataFrame:
     """(query_id, doc_id, score, rank): BM25 top k over weighted fields. queries: (query_id, text); corpus: (doc_id,
-    title, text); `table` are its postings if they are at hand.
+    title, text), ids long. Statistics cover the whole corpus.
 
-    Statistics cover the whole corpus. Only postings of terms that are asked for are scored.
+    The queries are a stated set and meet the corpus in blocks of about block_rows, each sent to the executors. Documents
+    stream past them, once for the numbers of documents with a term and once for scores; neither postings nor scores of
+    pairs are written. A task hands on the k best documents of its own for every query, which hold its share of the best
+    of all: scores are rounded before ranking, and ties go to the smaller id.
     """
-    table = postings(corpus) if table is None else table
-    sizes = table.select("doc_id", "length").distinct().agg(F.avg("length").alias("mean_length"))
-    n = corpus.select("doc_id").distinct().agg(F.count("*").alias("n_docs"))
-    asked = cut(queries.select("query_id", F.explode(terms(F.col("text"), 1)).alias("term")).filter("term <> ''"))
-    df = table.join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
-    weighted = asked.join(df, "term").crossJoin(F.broadcast(n)).crossJoin(F.broadcast(sizes))  # two single rows
-    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean_length")))
-    scored = _hits(weighted, table).groupBy("query_id", "doc_id").agg(F.round(F.sum(part), decimals).alias("score"))
-    return first_k(scored, "query_id", [F.col("score").desc(), F.col("doc_id").asc()], k)
+    spark = queries.sparkSession
+    asked = cut(queries.select("query_id", F.explode(terms(F.col("text"), 1)).alias("term")).groupBy("query_id").agg(F.sort_array(F.collect_set("term")).alias("terms")))
+    shape = f"query_id {asked.schema['query_id'].dataType.simpleString()}, doc_id long, score double"
+    n_queries, n_rows, n_docs = asked.count(), corpus.count(), corpus.select("doc_id").distinct().count()
+    if not n_queries:
+        return spark.createDataFrame([], f"{shape}, rank int")
+    keys = corpus.select(F.col("doc_id").cast("long"), *[F.coalesce(name_key(F.col(c)), F.lit("")).alias(c) for c in ("title", "text")])
+    if n_rows == n_docs:
+        docs = keys.select("doc_id", F.array("title").alias("titles"), F.array("text").alias("texts"))
+    else:
+        docs = keys.groupBy("doc_id").agg(F.collect_list(F.struct("title", "text")).alias("rows")).select("doc_id", F.col("rows.title").alias("titles"), F.col("rows.text").alias("texts"))
+    blocks, parts = math.ceil(n_queries / block_rows), []
+    for n in range(blocks):
+        block = asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == n) if blocks > 1 else asked
+        known = block.toArrow()  # one block of the query set
+        if known.num_rows:
+            parts.append(docs.mapInArrow(_scorer(docs, known, n_docs, k, decimals), shape))
+    return first_k(reduce(DataFrame.unionByName, parts), "query_id", [F.col("score").desc(), F.col("doc_id").asc()], k)
+
+
+def _scorer(docs: DataFrame, known: pa.Table, n_docs: int, k: int, decimals: int):  # noqa: ANN202
+    """What takes batches of documents to the k best of each query in `known` (query_id, terms)."""
+    context = docs.sparkSession.sparkContext
+    lists = known.column("terms").combine_chunks()
+    wanted = pc.unique(lists.flatten())
+    numbers, ends = pc.index_in(lists.flatten(), value_set=wanted).to_numpy(), np.cumsum(pc.list_value_length(lists).to_numpy())
+    sets: dict[tuple[int, ...], int] = {}  # queries of the same terms are scored once
+    of = np.array([sets.setdefault(tuple(sorted(x.tolist())), len(sets)) for x in np.split(numbers, ends[:-1])])
+    words = context.broadcast(wanted)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, entries, total = np.zeros(len(words.value), np.int64), 0, 0.0
+        for batch in batches:
+            _, length, _, term, _ = _entries(batch, words.value)
+            df += np.bincount(term, minlength=len(df))
+            entries, total = entries + int((length > 0).sum()), total + float(length.sum())
+        seen = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *seen], pa.int64()), pa.array([entries, *df[seen]], pa.int64()), pa.array([total, *np.zeros(len(seen))], pa.float64())], names=["term", "n", "length"])
+
+    counted = docs.mapInArrow(count, "term long, n long, length double").groupBy("term").agg(F.sum("n").alias("n"), F.sum("length").alias("length")).toArrow().to_pydict()
+    df, mean = np.zeros(len(wanted)), 0.0
+    for term, m, length in zip(counted["term"], counted["n"], counted["length"], strict=True):
+        if term < 0:
+            mean = length / max(m, 1)
+        else:
+            df[term] = m
+    shared = context.broadcast((known.column("query_id").combine_chunks(), of, [np.array(x) for x in sets], np.log(1 + (n_docs - df + 0.5) / (df + 0.5)), mean))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, of, sets, idf, mean = shared.value
+        best, ids, held, size = np.full((len(sets), k), -np.inf), np.zeros((len(sets), k), np.int64), [], 0
+        for batch in batches:
+            document, length, entry, term, tf = _entries(batch, words.value)
+            part = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[entry] / mean)) if len(tf) else tf
+            held.append((pc.fill_null(batch.column(0), _NO_ID).to_numpy(), document[entry] + size, term, part))
+            size += batch.num_rows
+            if size >= CHUNK_DOCUMENTS:
+                _score(held, sets, len(idf), best, ids, decimals)
+                held, size = [], 0
+        if held:
+            _score(held, sets, len(idf), best, ids, decimals)
+        for first in range(0, len(of), 1024):
+            mine = of[first : first + 1024]
+            row, col = np.nonzero(np.isfinite(best[mine]))
+            found = ids[mine[row], col]
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(first + row)), pa.array(found, mask=found == _NO_ID), pa.array(best[mine[row], col])], names=["query_id", "doc_id", "score"])
+
+    return search
+
+
+#: Stands for a document id that is null.
+_NO_ID = np.iinfo(np.int64).max
+
+
+def _entries(batch: pa.RecordBatch, wanted: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents (doc_id, titles, texts) as they would stand in the inverted table: document and length of every entry;
+    entry, term and tf of every wanted term. Rows of a document that have the same length are one entry."""
+    document = np.asarray(pc.list_parent_indices(batch.column(1))).astype(np.int64)
+    length, keys, weights = np.zeros(len(document)), [], []
+    for column, weight in ((1, TITLE_WEIGHT / TEXT_WEIGHT), (2, 1.0)):
+        split = pc.split_pattern(batch.column(column).flatten(), " ")
+        words, row = split.flatten(), np.asarray(pc.list_parent_indices(split)).astype(np.int64)
+        length += weight * np.bincount(row[pc.not_equal(words, "").to_numpy(zero_copy_only=False)], minlength=len(document))
+        term = pc.fill_null(pc.index_in(words, value_set=wanted), -1).to_numpy()
+        keys.append(row[term >= 0] * len(wanted) + term[term >= 0])
+        weights.append(np.full(len(keys[-1]), weight))
+    key = np.concatenate(keys)
+    if len(document) > batch.num_rows:
+        entries, entry = np.unique(np.stack([document, length]), axis=1, return_inverse=True)
+        document, length = entries[0].astype(np.int64), entries[1]
+        key = entry.ravel()[key // len(wanted)] * len(wanted) + key % len(wanted)
+    key, place = np.unique(key, return_inverse=True)
+    return document, length, key // len(wanted), key % len(wanted), np.bincount(place, np.concatenate(weights), len(key))
+
+
+def _score(held: list[tuple], sets: list[np.ndarray], n_terms: int, best: np.ndarray, ids: np.ndarray, decimals: int) -> None:
+    """Takes the documents of a chunk into the k best of every set of terms, kept in order of rank."""
+    names, document, term, part = (np.concatenate([h[i] for h in held]) for i in range(4))
+    key, place = np.unique(term * len(names) + document, return_inverse=True)
+    document, part = key % len(names), np.bincount(place, part, len(key))
+    starts = np.searchsorted(key, np.arange(n_terms + 1) * len(names))
+    rows: dict[int, np.ndarray] = {}  # terms of many documents, a number for each document
+    for t in np.flatnonzero(np.diff(starts) > len(names) // 8):
+        rows[t] = np.zeros(len(names))
+        rows[t][document[starts[t] : starts[t + 1]]] = part[starts[t] : starts[t + 1]]
+    scores, k = np.empty(len(names)), best.shape[1]
+    for n, wanted in enumerate(sets):
+        scores.fill(0)
+        for t in wanted:
+            if t in rows:
+                scores += rows[t]
+            else:
+                scores[document[starts[t] : starts[t + 1]]] += part[starts[t] : starts[t + 1]]
+        low = best[n, -1]  # what is below it can't be among the k best, nor what is below k documents of this chunk
+        if low == -np.inf and len(scores) > k:
+            low = np.partition(scores, len(scores) - k)[len(scores) - k]
+        low -= 10.0**-decimals
+        if low > 0:
+            near = np.flatnonzero(scores >= low)
+        else:
+            near = np.unique(np.concatenate([document[starts[t] : starts[t + 1]] for t in wanted]))
+        if not len(near):
+            continue
+        new = np.round(scores[near], decimals)
+        if len(near) > k:  # ties with the k-th stay in
+            keep = new >= np.partition(new, len(new) - k)[len(new) - k]
+            near, new = near[keep], new[keep]
+        new, found = np.concatenate([best[n], new]), np.concatenate([ids[n], names[near]])
+        order = np.lexsort((found, -new))[:k]
+        best[n], ids[n] = new[order], found[order]
 
 
 def matching_all(queries: DataFrame, corpus: DataFrame, table: DataFrame | None = None) -> DataFrame:

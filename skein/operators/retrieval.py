@@ -96,7 +96,7 @@ def _hits(asked: DataFrame, table: DataFrame) -> DataFrame:
 
 
 #: Documents that a task scores at once. It bounds memory, not the result.
-CHUNK_DOCUMENTS = 32_768
+CHUNK_DOCUMENTS = 16_384
 
 
 def bm25_top_k(queries: DataFrame, corpus: DataFrame, k: int = 50, decimals: int = 6, block_rows: int = 16_384) -> DataFrame:

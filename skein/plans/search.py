@@ -99,8 +99,8 @@ def bootstrap(spark: SparkSession, d: str) -> DataFrame:
 
 def evidence(spark: SparkSession, d: str) -> DataFrame:
     """The best document of each query with the passage that shows why."""
-    top = fused(spark, d).filter("rank = 1").join(_titles(spark, d).withColumnRenamed("text", "asked"), "query_id").join(_texts(spark, d), "doc_id")
-    return top.select("query_id", "doc_id", snippet(F.col("text"), terms(F.col("asked"), 4)).alias("passage"))
+    top = fused(spark, d).filter("rank = 1").join(_titles(spark, d).withColumnRenamed("text", "asked"), "query_id")
+    return join_small(_texts(spark, d), top, ["doc_id"]).select("query_id", "doc_id", snippet(F.col("text"), terms(F.col("asked"), 4)).alias("passage"))
 
 
 def _words(column: str) -> str:

@@ -68,7 +68,7 @@ def test_lexical_equals_brute_force_and_hands_on_no_pairs(spark, twice):
     assert retrieval.bm25_top_k(asked, corpus.limit(0), 6).count() == 0
 
 
-@pytest.mark.parametrize("name", ["lexical", "fused", "evidence", "channel_comparison", "retrieval_measures", "owners", "traced", "mean_measures"])
+@pytest.mark.parametrize("name", ["lexical", "fused", "evidence", "channel_comparison", "retrieval_measures", "owners", "traced", "mean_measures", "bootstrap"])
 def test_search_moves_no_postings(spark, name):
     """sf0.01 has 74 000 postings, and 9 000 pairs of its 10 queries and documents that share a word."""
     _, moved = shuffled(spark, lambda: entry.queries()[name](spark, FOLDER).collect())
